@@ -120,29 +120,22 @@ def unite(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def non_utf8_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Files with at least one line that is not valid UTF-8.
+def utf8_by_file(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
+    """Whether each non-empty file is valid UTF-8 throughout.
 
     Lines are checked where they lie, so a large file is split over tasks. Only
     file names reach the driver, as many as the catalogue has files.
     """
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    bad = lines.where(~F.is_valid_utf8("value")).select("file").distinct()
-    return sorted(row.file for row in bad.collect())
+    checked = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    return {row.file: row.utf8 for row in checked.collect()}
 
 
 def read_mixed_encodings(spark: SparkSession, paths: list[str]) -> DataFrame:
     """UTF-8 where a file is valid UTF-8, latin-1 where it is not, decided per file."""
-    files = sorted(
-        row.file
-        for row in spark.read.format("binaryFile")
-        .load(paths)
-        .select(F.col("path").alias("file"))
-        .collect()
-    )
-    latin1 = set(non_utf8_files(spark, paths))
+    utf8 = utf8_by_file(spark, paths)
     groups = [
-        (UTF8, [f for f in files if f not in latin1]),
-        (LATIN1, [f for f in files if f in latin1]),
+        (UTF8, sorted(f for f, ok in utf8.items() if ok)),
+        (LATIN1, sorted(f for f, ok in utf8.items() if not ok)),
     ]
     return unite([read_text_columns(spark, fs, enc) for enc, fs in groups if fs])
