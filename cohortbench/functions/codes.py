@@ -29,8 +29,8 @@ def bucket(code: Column, buckets: Mapping[str, Iterable[int]], default: str) ->
 
 
 def equals_code(code: Column, value: float) -> Column:
-    """Numeric comparison, so that '99', '99.0' and 99 are the same code."""
-    return code.cast("double") == F.lit(float(value))
+    """Numeric comparison: text that is no number never matches, and '99', '99.0' and 99 are one code."""
+    return code.try_cast("double") == F.lit(float(value))
 
 
 def name_contains(name: Column, terms: Iterable[str]) -> Column:

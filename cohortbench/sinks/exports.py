@@ -34,7 +34,7 @@ class EmptyExport(ValueError):
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Refuse to go on with nothing; looks for a single row only."""
+    """Refuse to go on with nothing. Meant for written tables, where one row is cheap to find."""
     if df.isEmpty():
         raise EmptyExport(f"no rows: {what}")
     return df
@@ -130,9 +130,7 @@ def chart_records(
         elif name in fractional:
             c = scaled_round(c.cast("double"), 2)
         out.append(c.alias(key))
-    return require_rows(
-        year_window(fact, first, last, year), f"years {first} to {last}"
-    ).select(*out)
+    return year_window(fact, first, last, year).select(*out)
 
 
 def json_records(df: DataFrame, column: str = "record") -> DataFrame:
@@ -141,6 +139,7 @@ def json_records(df: DataFrame, column: str = "record") -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> int:
-    counted, seen = _counted(json_records(df))
+    """JSON lines; an empty result is refused before anything is overwritten."""
+    counted, seen = _counted(json_records(require_rows(df, f"nothing to publish at {path}")))
     counted.write.mode("overwrite").text(path)
     return seen.get["rows"]

@@ -134,6 +134,8 @@ def utf8_by_file(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
 def read_mixed_encodings(spark: SparkSession, paths: list[str]) -> DataFrame:
     """UTF-8 where a file is valid UTF-8, latin-1 where it is not, decided per file."""
     utf8 = utf8_by_file(spark, paths)
+    if not utf8:
+        return read_text_columns(spark, paths)
     groups = [
         (UTF8, sorted(f for f, ok in utf8.items() if ok)),
         (LATIN1, sorted(f for f, ok in utf8.items() if not ok)),
