@@ -82,8 +82,8 @@ def rate_gap(reference_rate: Column, group_rate: Column) -> Column:
 def mean_of(c: Column, scale: int, digits: int | None = None) -> Column:
     """Mean of a decimal column with `scale` digits, as one double division.
 
-    The sum runs over unscaled bigints: exact, order-independent, and the only
-    rounding is that of the final quotient. Nulls are skipped; no values: null.
+    The sum runs over unscaled bigints: exact, independent of order, and the only
+    rounding is that of the quotient. Nulls are skipped; no values: null.
     """
     unit = 10**scale
     total = F.sum((c * F.lit(unit)).cast("bigint")).cast("double")

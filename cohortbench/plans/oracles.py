@@ -468,13 +468,13 @@ FROM peer_rows p LEFT JOIN averages a ON p.size_tier = a.size_tier AND p.is_flag
     "overview_cards": with_ctes(
         *FACTS,
         NEWEST,
-        select="""SELECT count(DISTINCT entity_id) AS entities, avg(grad_rate) AS avg_grad_rate,
-  avg(ft_rate) AS avg_ft_rate, CAST(sum(code_3) AS BIGINT) AS total_code_3 FROM newest""",
+        select="""SELECT count(DISTINCT entity_id) AS entities, round(avg(grad_rate), 1) AS avg_grad_rate,
+  round(avg(ft_rate), 1) AS avg_ft_rate, CAST(sum(code_3) AS BIGINT) AS total_code_3 FROM newest""",
     ),
     "equity_cards": with_ctes(
         *FACTS,
         NEWEST,
-        select="SELECT avg(gap_r) AS avg_gap_r, avg(gap_n) AS avg_gap_n FROM newest",
+        select="SELECT round(avg(gap_r), 1) AS avg_gap_r, round(avg(gap_n), 1) AS avg_gap_n FROM newest",
     ),
     "overview_table": with_ctes(
         *FACTS,

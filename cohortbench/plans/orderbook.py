@@ -77,11 +77,22 @@ def latest_order_year(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "orders").select(F.year(F.max("o_orderdate"))).scalar()
 
 
+def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded counts as read. The count is converted here once, not in each aggregate."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.col("l_linenumber").alias("code"),
+        F.col("l_returnflag").alias("member_group"),
+        F.col("l_linestatus").alias("status"),
+        r.whole(F.col("l_quantity")).alias("n"),
+    )
+
+
 def per_entity_year(
     spark: SparkSession, sf_dir: str, sums: dict, agg=F.sum, window=None
 ) -> DataFrame:
     """Line aggregates per order, then per entity-year; `agg` must compose with itself."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = line_rows(spark, sf_dir)
     per_order = lines.groupBy("l_orderkey").agg(*[c.alias(n) for n, c in sums.items()])
     keyed = orders(spark, sf_dir, window).select("o_orderkey", *KEYS)
     joined = per_order.join(keyed, per_order["l_orderkey"] == keyed["o_orderkey"])
@@ -90,9 +101,8 @@ def per_entity_year(
 
 def line_counts(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
     """All coded counts in one pass over the lines."""
-    n = r.whole(F.col("l_quantity"))
-    code = F.col("l_linenumber").cast("int")
-    group, status = F.col("l_returnflag"), F.col("l_linestatus")
+    n, code = F.col("n"), F.col("code")
+    group, status = F.col("member_group"), F.col("status")
     sums = {
         "total_units": F.sum(n),
         "code_1": sum_of_codes(code, [1], n),
@@ -153,8 +163,7 @@ def preferred_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Maxima compose only per code, so codes stay apart until the last step.
     """
-    n = r.whole(F.col("l_quantity"))
-    code, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    n, code, flag = F.col("n"), F.col("code"), F.col("member_group")
     roles = {"cohort": (7, 1), "completers": (6, 2), "transfers": (5, 3)}
     measures = {"total": n, **{g: F.when(flag == v, n) for g, v in GROUPS.items()}}
     per_code = {
@@ -205,9 +214,8 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    placed = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").join(
-        region, nation.n_regionkey == region.r_regionkey, "left"
-    )
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    placed = customer.join(places, customer.c_nationkey == places.n_nationkey, "left")
     return placed.select(
         F.col("c_custkey").alias("entity_id"),
         F.col("c_name").alias("entity_name"),

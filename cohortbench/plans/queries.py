@@ -354,8 +354,8 @@ def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
             newest(spark, sf_dir),
             {
                 "entities": F.countDistinct("entity_id"),
-                "avg_grad_rate": rates.mean_of(F.col("grad_rate"), 2),
-                "avg_ft_rate": rates.mean_of(F.col("ft_rate"), 2),
+                "avg_grad_rate": rates.mean_of(F.col("grad_rate"), 2, 1),
+                "avg_ft_rate": rates.mean_of(F.col("ft_rate"), 2, 1),
                 "total_code_3": F.sum("code_3"),
             },
         )
@@ -363,7 +363,7 @@ def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def equity_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = {f"avg_{g}": rates.mean_of(F.col(g), 2) for g in ob.FACT_GAPS}
+    gaps = {f"avg_{g}": rates.mean_of(F.col(g), 2, 1) for g in ob.FACT_GAPS}
     return published(datasets.cards(newest(spark, sf_dir), gaps))
 
 
