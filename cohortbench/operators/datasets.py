@@ -29,14 +29,18 @@ def renamed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(label) for c, label in columns.items()])
 
 
-def ranked_table(df: DataFrame, metric: str) -> DataFrame:
+# Rankings break ties by name. Rates take few distinct values, and without a
+# second sort column all rows of one value would be sorted by a single task.
+
+
+def ranked_table(df: DataFrame, name: str, metric: str) -> DataFrame:
     """Highest first, missing values last."""
-    return df.orderBy(F.desc_nulls_last(metric))
+    return df.orderBy(F.desc_nulls_last(metric), name)
 
 
 def ranked_bars(df: DataFrame, name: str, metric: str) -> DataFrame:
     """Lowest first, missing values dropped."""
-    return df.select(name, metric).dropna().orderBy(F.asc(metric))
+    return df.select(name, metric).dropna().orderBy(F.asc(metric), name)
 
 
 def trend(fact: DataFrame, name: str, metrics: list[str], year: str = "year") -> DataFrame:
@@ -115,7 +119,7 @@ def scatter(df: DataFrame, name: str, x: str, y: str) -> DataFrame:
 def with_focus(df: DataFrame, name: str, focus: str | Column) -> DataFrame:
     """is_focus is 1 for the highlighted entity, which sorts last (drawn on top)."""
     flag = F.coalesce((F.col(name) == focus).cast("int"), F.lit(0))
-    return df.withColumn("is_focus", flag).orderBy("is_focus")
+    return df.withColumn("is_focus", flag).orderBy("is_focus", name)
 
 
 def star_measures(

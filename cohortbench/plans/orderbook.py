@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortbench.functions import rates as r
 from cohortbench.functions.tiers import Tier, flag_tier, size_tier, two_way_tier
@@ -44,8 +45,16 @@ WEST = ("AMERICA", "EUROPE")
 PEER_KEYS = ["size_tier", "is_flagged", "share_tier", "place_tier"]
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table; its footer is read once per application, not once per mention."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def orders(

@@ -379,7 +379,7 @@ OVERVIEW_COLUMNS = {
 
 def overview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = datasets.renamed(newest(spark, sf_dir), OVERVIEW_COLUMNS)
-    return published(datasets.ranked_table(shown, "graduation"))
+    return published(datasets.ranked_table(shown, "entity", "graduation"))
 
 
 def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,11 +273,10 @@ def completion_metrics(completions: DataFrame, members: DataFrame) -> DataFrame:
     }
     for group, column in COMPLETION_GROUPS.items():
         sums[f"associate_{group}"] = sum_of_codes(level, [3], r.whole(F.col(column)))
-    counted = (
-        ent.restrict(totals, members, KEY)
-        .groupBy(*KEYS)
-        .agg(*[r.published_count(s).alias(name) for name, s in sums.items()])
+    counted = totals.groupBy(*KEYS).agg(
+        *[r.published_count(s).alias(name) for name, s in sums.items()]
     )
+    counted = ent.restrict(counted, members, KEY)
     degrees = F.col("associate_degrees")
     return counted.select(
         "*",
@@ -311,10 +310,11 @@ def graduation_metrics(graduation: DataFrame, members: DataFrame) -> DataFrame:
         for m, column in measures.items()
     }
     wide = (
-        ent.restrict(graduation.where(code.isin(wanted)), members, KEY)
+        graduation.where(code.isin(wanted))
         .groupBy(*KEYS)
         .agg(*[value.alias(name) for name, value in roles.items()])
     )
+    wide = ent.restrict(wide, members, KEY)
     cohort, completers, transfers = (F.col(f"{role}_all") for role in COHORT_ROLES)
     rated = wide.select(
         "*",

@@ -28,6 +28,7 @@ def local_session(cores: str = "*", memory: str = "8g", app: str = "cohortbench"
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)

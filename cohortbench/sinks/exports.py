@@ -55,20 +55,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return seen.get["rows"]
 
 
-def write_csv(
-    df: DataFrame, path: str, bom: bool = True, single_file: bool = False, encoding: str = "UTF-8"
-) -> int:
+def write_csv(df: DataFrame, path: str, bom: bool = True, encoding: str = "UTF-8") -> int:
     """Header row, no index. The mark before the first name tells spreadsheets it is UTF-8.
 
-    single_file funnels the rows through one task: for marts meant for a desktop
-    tool only. The default keeps one file per partition.
+    One file per partition, each with its header; a small mart is one partition.
     """
     counted, seen = _counted(df)
     if bom:
         first, *rest = counted.columns
         counted = counted.toDF(BOM + first, *rest)
-    if single_file:
-        counted = counted.coalesce(1)
     (
         counted.write.mode("overwrite")
         .option("header", True)
@@ -87,7 +82,6 @@ def export_tables(
     outdir: str,
     fmt: str = "csv",
     only: Iterable[str] | None = None,
-    single_file: bool = False,
 ) -> DataFrame:
     """Write tables as csv, parquet or both; report the rows of each file set."""
     if fmt not in ("csv", "parquet", "both"):
@@ -99,7 +93,7 @@ def export_tables(
     report = []
     for name in names:
         if fmt in ("csv", "both"):
-            rows = write_csv(tables[name], f"{outdir}/{name}.csv", single_file=single_file)
+            rows = write_csv(tables[name], f"{outdir}/{name}.csv")
             report.append((name, "csv", rows))
         if fmt in ("parquet", "both"):
             report.append((name, "parquet", write_parquet(tables[name], f"{outdir}/{name}.parquet")))
