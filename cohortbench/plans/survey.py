@@ -273,10 +273,10 @@ def completion_metrics(completions: DataFrame, members: DataFrame) -> DataFrame:
     }
     for group, column in COMPLETION_GROUPS.items():
         sums[f"associate_{group}"] = sum_of_codes(level, [3], r.whole(F.col(column)))
-    counted = totals.groupBy(*KEYS).agg(
-        *[r.published_count(s).alias(name) for name, s in sums.items()]
+    counted = totals.groupBy(*KEYS).agg(*[s.alias(name) for name, s in sums.items()])
+    counted = ent.restrict(counted, members, KEY).select(
+        *KEYS, *[r.published_count(F.col(name)).alias(name) for name in sums]
     )
-    counted = ent.restrict(counted, members, KEY)
     degrees = F.col("associate_degrees")
     return counted.select(
         "*",
