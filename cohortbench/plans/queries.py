@@ -616,7 +616,7 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = ob.retention(spark, sf_dir).select(*columns)
     root = scratch_path(spark, "export")
     mart_path = f"{root}/landed"
-    exports.write_yearly(mart, mart_path)
+    exports.write_yearly(mart, mart_path, rebalance=True)
     landed = spark.read.parquet(mart_path).select(*columns)
     report = exports.export_tables(spark, {"retention": landed}, root, "both")
 
@@ -645,7 +645,7 @@ def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     root = scratch_path(spark, "records")
     fact = ob.fact(spark, sf_dir).select(*columns)
-    exports.write_yearly(fact, f"{root}/fact")
+    exports.write_yearly(fact, f"{root}/fact", rebalance=True)
     mart = spark.read.parquet(f"{root}/fact")
     path = f"{root}/records.json"
     exports.write_json(exports.chart_records(mart, 1996, 1999, columns), path)

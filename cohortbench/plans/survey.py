@@ -551,7 +551,7 @@ def write_marts(
     """
 
     def kept(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        exports.write_parquet(df, f"{out}/{name}", partition_by)
+        exports.write_parquet(df, f"{out}/{name}", partition_by, rebalance=True)
         return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(*df.columns)
 
     def staged(family: str) -> DataFrame:

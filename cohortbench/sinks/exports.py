@@ -46,8 +46,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, rebalance: bool = False
+) -> int:
+    """Rows written. rebalance gathers each folder's rows into files of advisory size.
+
+    Without it every task writes a file into every folder it has rows for. AQE
+    splits a folder that is too large for one task, so a big year does not end up
+    in one. Raw landings skip it: their tasks read one year each already.
+    """
     counted, seen = _counted(df)
+    if rebalance and partition_by:
+        counted = counted.hint("rebalance", *partition_by)
     writer = counted.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -100,9 +110,11 @@ def export_tables(
     return spark.createDataFrame(report, "table_name string, format string, row_count bigint")
 
 
-def write_yearly(df: DataFrame, path: str, year: str = "year") -> int:
-    """Landed family: one folder per year, so year filters skip whole folders."""
-    return write_parquet(df, path, [year])
+def write_yearly(
+    df: DataFrame, path: str, year: str = "year", rebalance: bool = False
+) -> int:
+    """One folder per year, so year filters skip whole folders."""
+    return write_parquet(df, path, [year], rebalance)
 
 
 def chart_records(

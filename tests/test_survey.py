@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortbench.operators import quality
-from cohortbench.plans import survey
+from cohortbench.plans import dashboard, survey
 from cohortbench.sinks.exports import EmptyExport
 from cohortbench.sources.delimited import Catalogue
 
@@ -268,3 +268,32 @@ def test_no_entity_at_all_stops_the_landing(spark, tmp_path):
     put(tmp_path, "hd_2020.csv", ["UNITID", "STABBR", "SECTOR"], [[1, "OK", 4]])
     with pytest.raises(EmptyExport):
         survey.land(spark, Catalogue(str(tmp_path), {"hd": [2020]}), str(tmp_path / "out"))
+
+
+def test_dashboard_tabs(built):
+    _, _, marts = built
+    fact = marts["outcome_fact"]
+    tabs = dashboard.tabs(fact, 2020, 2021)
+    assert list(tabs) == ["overview", "graduation", "retention", "completions", "equity"]
+    assert tabs["overview"]["colleges"].first().colleges == 2
+    newest = tabs["overview"]["cards"].first()
+    assert tuple(newest) == (None, 60.0, D(0))
+    earlier = dashboard.tabs(fact, 2020, 2020, colleges=["Alfa Collège"])
+    assert tuple(earlier["overview"]["cards"].first()) == (25.0, 55.0, D(40))
+    assert earlier["overview"]["table"].columns[:2] == ["College", "Graduation Rate"]
+    pivot = row(tabs["retention"]["table"], institution_name="Alfa Collège")
+    assert (pivot["2020"], pivot["2021"], pivot["Change (2020-21)"]) == (55.0, 60.0, 5.0)
+    assert tabs["graduation"]["bars"].count() == 4
+    assert earlier["equity"]["rates"].count() == 3
+    assert tuple(earlier["equity"]["gaps"].first())[1:] == (D("40.00"), D("25.00"))
+    assert earlier["equity"]["table"].columns[-1] == "Black Gap"
+    assert tabs["completions"]["total_trend"].count() == 4
+    present = dashboard.tabs(fact, 2020, 2030, newest_present=True)
+    assert tuple(present["overview"]["cards"].first()) == (None, 60.0, D(0))
+
+
+def test_star_by_dimension(built):
+    _, _, marts = built
+    got = dashboard.by_dimension(marts["institution_dim"], marts["outcome_fact"], ["urbanicity"])
+    assert row(got, urbanicity="Urban/Suburban").colleges == 1
+    assert row(got, urbanicity="Urban/Suburban").avg_graduation_rate == 25.0
