@@ -93,7 +93,7 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("code"),
         F.col("l_returnflag").alias("member_group"),
         F.col("l_linestatus").alias("status"),
-        r.whole(F.col("l_quantity")).alias("n"),
+        r.whole_double(F.col("l_quantity")).alias("n"),
     )
 
 

@@ -46,6 +46,13 @@ def test_count_cast_rounds_half_away_from_zero(spark):
     assert column(spark, "a double", rows, rates.whole(A)) == [3, -3, 2, None]
 
 
+def test_whole_double_agrees_with_the_decimal_cast(spark):
+    values = [0.0, 0.49999999999999994, 0.5, 1.5, 2.5, -0.5, -2.5, -2.4, 4503599627370495.5, 7.0]
+    rows = [(x,) for x in [*values, None]]
+    got = column(spark, "a double", rows, rates.whole_double(A))
+    assert got == column(spark, "a double", rows, A.cast("decimal(20,0)").cast("bigint"))
+
+
 def test_count_overflow_stops_the_job(spark):
     with pytest.raises(PySparkException):
         one(spark, "a bigint", (10**10,), rates.published_count(A))
