@@ -138,6 +138,19 @@ def load_summary(audit: DataFrame) -> DataFrame:
     )
 
 
+def load_totals(audit: DataFrame, ratio: float = THIN_RATIO) -> DataFrame:
+    """One row: loaded, not yet published, suspect (thin or emptied) and failed files."""
+    status = F.col("status")
+    counts = audit.agg(
+        F.count_if(status == OK).alias("ok"),
+        F.count_if(status == NOT_PUBLISHED).alias("not_published"),
+        F.count_if(status == EMPTY).alias("_empty"),
+        F.count_if(status == ERROR).alias("errors"),
+    )
+    thin = thin_years(audit, ratio).agg(F.count(F.lit(1))).scalar()
+    return counts.select("ok", "not_published", (F.col("_empty") + thin).alias("suspect"), "errors")
+
+
 def load_report(audit: DataFrame) -> DataFrame:
     """The audit in (family, year) order."""
     return audit.orderBy("family", "year")

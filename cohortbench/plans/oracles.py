@@ -509,7 +509,7 @@ WHERE grad_rate IS NOT NULL AND entity_name IS NOT NULL ORDER BY grad_rate""",
     "year_grid": with_ctes(
         *FACTS,
         select="""SELECT n.entity_name, y.year, CAST(f.grad_rate AS DOUBLE) AS grad_rate
-FROM (SELECT DISTINCT entity_name FROM fact) n
+FROM (SELECT DISTINCT entity_name FROM fact WHERE year BETWEEN 1995 AND 2001) n
 CROSS JOIN (SELECT r AS year FROM range(1995, 2002) t(r)) y
 LEFT JOIN fact f ON f.entity_name = n.entity_name AND f.year = y.year""",
     ),

@@ -92,14 +92,19 @@ def yearly_stamp_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         "O_ORDERPRIORITY": "string",
         "O_ORDERSTATUS": "string",
     }
+    years = [row.year for row in entities.distinct_sorted(rows, "year").collect()]
     families = [
         delimited.read_family(
             spark,
-            delimited.Catalogue(path, {"orders": years}, "year={year}"),
+            delimited.Catalogue(path, {"orders": published_years}, "year={year}"),
             "orders",
             declared,
         )
-        for path, years in ((early, range(1995, 1998)), (late, range(1998, 2002)))
+        for path, published_years in (
+            (early, [y for y in years if y < 1998]),
+            (late, [y for y in years if y >= 1998]),
+        )
+        if published_years
     ]
     united = delimited.unite(families)
     return published(united.toDF(*[c.lower() for c in united.columns]))

@@ -128,7 +128,7 @@ def land(
             elif ids is not None and "UNITID" in raw.columns:
                 typed = ent.restrict(typed, ids, "UNITID")
             elif scope:
-                ent.log.warning("%s %s has no UNITID, cannot be restricted", family, year)
+                ent.log.warning("%s %s has no ids to be restricted by", family, year)
             frames.append(typed.withColumn("YEAR", F.lit(year)))
             years.append(year)
         if not frames:

@@ -10,7 +10,7 @@ from cohortbench.functions.rates import COUNT, MONEY_TOTAL
 
 UNKNOWN = "Unknown"
 
-# Families and the years published for each. Completions, enrollment and the
+# Families and the years published for each. Completions, enrollment and the
 # directory come out about a year before the others.
 FAMILY_YEARS = {
     "c_a": range(2020, 2026),
@@ -165,7 +165,7 @@ DECODES = {
 
 # --- count blocks (by rule) ----------------------------------------------------
 
-# Demographic parts of a count column: <prefix><group><sex>.
+# Demographic parts of a count column, <prefix><group><sex>.
 GROUPS = {
     "AIAN": "amer_indian",
     "ASIA": "asian",
@@ -192,7 +192,7 @@ def count_block(prefix: str, total_part: str, total_name: str) -> dict[str, tupl
     return block
 
 
-# Aid measures: the last letter of a column tells what it holds.
+# The last letter of an aid column tells what it holds.
 AID_MEASURES = {
     "N": ("recipients_count", COUNT),
     "P": ("recipients_percent", "double"),
@@ -207,7 +207,7 @@ def aid_block(prefix: str, name: str, measures: str = "NPTA") -> dict[str, tuple
     }
 
 
-# --- staged columns: file column to (output column, type) ----------------------
+# --- staged columns (fixed values): file column to (output column, type) --------
 
 HD = {
     "UNITID": ("unitid", "bigint"),

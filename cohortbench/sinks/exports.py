@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortbench.functions.rates import scaled_round
 from cohortbench.sources.warehouse import year_window
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 # Columns of the embedded chart records and their short keys.
 CHART_COLUMNS = {

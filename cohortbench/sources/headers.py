@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 # The byte-order mark, decoded as UTF-8 and as latin-1.
-BYTE_ORDER_MARKS = ("﻿", "ï»¿")
+BYTE_ORDER_MARKS = ("\ufeff", "\u00ef\u00bb\u00bf")
 
 
 class MissingColumns(ValueError):

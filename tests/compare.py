@@ -27,7 +27,7 @@ def _sorted_rows(table: pa.Table) -> list[tuple]:
 def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs, or None."""
     got = spark_df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     types_got = {f.name: str(f.type).replace("large_", "") for f in got.schema}
     types_want = {f.name: str(f.type).replace("large_", "") for f in want.schema}
     if types_got != types_want:

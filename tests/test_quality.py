@@ -68,6 +68,9 @@ def test_thin_years(spark):
     assert summary(got) == [("gr", 2023, 40, 100.0)]
     at_half = audit(spark, [("x", 2020, 100, "ok"), ("x", 2021, 100, "ok"), ("x", 2022, 50, "ok")])
     assert quality.thin_years(at_half).count() == 0
+    loads.append(("gr", 2024, 0, "empty"))
+    loads.append(("gr", 2025, None, "not_published"))
+    assert summary(quality.load_totals(audit(spark, loads))) == [(12, 1, 2, 1)]
 
 
 def test_load_states_and_summary(spark):
@@ -131,7 +134,8 @@ def test_formats_subsets_and_row_report(spark, tmp_path):
 
 def test_yearly_folders_prune(spark, tmp_path):
     path = str(tmp_path / "landed")
-    exports.write_yearly(mart(spark), path)
+    assert exports.write_yearly(mart(spark), path) == 2
+    assert exports.write_yearly(mart(spark), path, rebalance=True) == 2
     assert sorted(p.name for p in Path(path).glob("year=*")) == ["year=2020", "year=2021"]
     plan = spark.read.parquet(path).where("year = 2021")._jdf.queryExecution().executedPlan()
     assert "PartitionFilters: [isnotnull(year" in plan.toString()

@@ -16,7 +16,7 @@ def write(path, text, encoding="utf-8"):
 
 
 def test_clean_name_drops_blanks_and_marks():
-    assert headers.clean_name("﻿unitid") == "UNITID"
+    assert headers.clean_name("\ufeffunitid") == "UNITID"
     assert headers.clean_name("ï»¿ Unitid ") == "UNITID"
     assert headers.clean_name("STUFACR ") == "STUFACR"
 
@@ -37,7 +37,7 @@ def test_names_equal_after_cleaning_are_an_error(spark):
 def test_null_markers_headers_and_numbers(spark, tmp_path):
     path = write(
         tmp_path / "f.csv",
-        '﻿unitid,Ratio ,NOTE,N\n1,327.0,"a ""b"", c",.\n2,.,NULL,5\n3,,x,NULL\n4,2.5,.,""\n',
+        '\ufeffunitid,Ratio ,NOTE,N\n1,327.0,"a ""b"", c",.\n2,.,NULL,5\n3,,x,NULL\n4,2.5,.,""\n',
     )
     raw = delimited.read_text_columns(spark, path)
     assert raw.columns == ["UNITID", "RATIO", "NOTE", "N"]

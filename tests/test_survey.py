@@ -40,7 +40,7 @@ def raw(tmp_path_factory):
         hd(500, "Far College", "OK", 4, 1, 12, 1, 1),
         hd(600, "State University", "TX", 1, 1, 12, 1, 1),
     ])
-    put(root, "hd_2021.csv", ["﻿UNITID ", *HD[1:]], [
+    put(root, "hd_2021.csv", ["\ufeffUNITID ", *HD[1:]], [
         hd(100, "Alfa Collège", "TX", 4, 1, 11, 2, 1),
         hd(200, "Beta City College", "TX", 1, 1, 41, 9, 1),
         hd(400, "Closing College", "TX", 4, 1, 12, 1, 2),
