@@ -22,17 +22,23 @@ def distinct_ids(df: DataFrame, key: str) -> DataFrame:
 
 
 def qualify_any_year(
-    directory: DataFrame, key: str, year: str, qualifies: Column, current: Column
+    directory: DataFrame,
+    key: str,
+    year: str,
+    qualifies: Column,
+    current: Column,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
     """Latest directory rows of entities that qualify in at least one year.
 
     One year's rename or reclassification does not drop an entity, but it must
     be current in the newest directory year. The newest year is that of the
-    whole directory, before `current` is applied.
+    whole directory, before `current` is applied. Where the directory is itself
+    computed, `newest` may give its newest rows from a cheaper plan.
     """
     ids = distinct_ids(directory.where(qualifies), key)
-    latest = latest_year_rows(directory, year).where(current)
-    return latest.join(ids, key, "left_semi")
+    latest = latest_year_rows(directory, year) if newest is None else newest
+    return latest.where(current).join(ids, key, "left_semi")
 
 
 def restrict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -360,7 +360,7 @@ WHERE l_linestatus = 'F' AND l_returnflag = 'N' AND l_linenumber IN (2, 3, 4, 29
         OR lower(entity_name) LIKE '%#00000034%' OR lower(entity_name) LIKE '%r#7%'))))""",
         select="""SELECT entity_id, entity_name, year, segment, n_orders, top_price
 FROM directory
-WHERE year = (SELECT max(year) FROM directory) AND is_active
+WHERE year = (SELECT max(year) FROM order_rows) AND is_active
   AND region_name IN ('AMERICA', 'ASIA') AND entity_id IN (SELECT entity_id FROM matching)""",
     ),
     "latest_year_rows": with_ctes(

@@ -211,10 +211,10 @@ def grand_total_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def directory(spark: SparkSession, sf_dir: str, latest: bool = False) -> DataFrame:
     """Entity-year directory: yearly size and top price beside the fixed attributes."""
     yearly = (
-        ob.orders(spark, sf_dir)
+        ob.orders(spark, sf_dir, latest=latest)
         .groupBy(*KEYS)
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
@@ -238,7 +238,12 @@ def qualified_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     current = in_region & F.col("is_active")
     kept = entities.qualify_any_year(
-        directory(spark, sf_dir), "entity_id", "year", qualifies, current
+        directory(spark, sf_dir),
+        "entity_id",
+        "year",
+        qualifies,
+        current,
+        newest=directory(spark, sf_dir, latest=True),
     )
     return published(
         kept.select("entity_id", "entity_name", "year", "segment", "n_orders", "top_price")
