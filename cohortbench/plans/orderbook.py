@@ -192,31 +192,34 @@ def preferred_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retention(spark: SparkSession, sf_dir: str, window=None, latest: bool = False) -> DataFrame:
+def retention_counts() -> list[Column]:
     urgent = F.col("o_orderpriority").isin(*URGENT)
     kept = F.col("o_orderstatus") == "F"
     one = F.lit(1)
-    counts = (
-        orders(spark, sf_dir, window, latest)
-        .groupBy(*KEYS)
-        .agg(
-            F.count(one).alias("entering"),
-            sum_where(urgent, one).alias("ft_cohort"),
-            sum_where(urgent & kept, one).alias("ft_kept"),
-            sum_where(~urgent, one).alias("pt_cohort"),
-            sum_where(~urgent & kept, one).alias("pt_kept"),
-        )
-    )
+    return [
+        F.count(one).alias("entering"),
+        sum_where(urgent, one).alias("ft_cohort"),
+        sum_where(urgent & kept, one).alias("ft_kept"),
+        sum_where(~urgent, one).alias("pt_cohort"),
+        sum_where(~urgent & kept, one).alias("pt_kept"),
+    ]
+
+
+def retention_rates() -> list[Column]:
     ft_kept, ft_cohort = F.col("ft_kept"), F.col("ft_cohort")
     pt_kept, pt_cohort = F.col("pt_kept"), F.col("pt_cohort")
-    return counts.select(
-        "*",
+    return [
         r.safe_pct(ft_kept, ft_cohort).alias("ft_rate"),
         r.safe_pct(pt_kept, pt_cohort).alias("pt_rate"),
         r.blended_rate([(ft_kept, ft_cohort), (pt_kept, pt_cohort)]).alias("overall_rate"),
         (ft_cohort + pt_cohort).alias("total_cohort"),
         r.ratio(F.col("entering"), ft_cohort, 2).alias("load_ratio"),
-    )
+    ]
+
+
+def retention(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
+    counts = orders(spark, sf_dir, window).groupBy(*KEYS).agg(*retention_counts())
+    return counts.select("*", *retention_rates())
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,23 +244,28 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size and shares of the newest order year, one row per entity active in it."""
+def newest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, shares and retention of the newest order year, one row per active entity.
+
+    The newest enrollment, aid and retention all come from that year's orders, so
+    one aggregate serves them; unused columns are pruned.
+    """
     counts = (
         orders(spark, sf_dir, latest=True)
         .groupBy("entity_id")
         .agg(
-            F.count(F.lit(1)).alias("enrollment"),
+            *retention_counts(),
             F.count_if(F.col("o_orderstatus") == "F").alias("filled"),
             F.count_if(F.col("o_orderpriority").isin(*URGENT)).alias("urgent"),
         )
     )
-    size = F.col("enrollment")
+    size = F.col("entering")
     return counts.select(
         "entity_id",
-        "enrollment",
+        size.alias("enrollment"),
         r.safe_pct(F.col("filled"), size).alias("pct_filled"),
         r.safe_pct(F.col("urgent"), size).alias("pct_urgent"),
+        *retention_rates(),
     )
 
 
@@ -270,19 +278,23 @@ def tiers() -> list[Tier]:
     ]
 
 
-def peer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = attach(entities(spark, sf_dir), enrollment(spark, sf_dir), key="entity_id")
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities with their newest profile and tiers; inactive ones have neither counts nor rates."""
+    placed = attach(entities(spark, sf_dir), newest_profile(spark, sf_dir), key="entity_id")
     return with_tiers(placed, tiers())
 
 
+def peer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return described(spark, sf_dir).select(
+        "entity_id", "entity_name", "nation_name", "region_name", "segment",
+        "enrollment", "pct_filled", "pct_urgent", *PEER_KEYS,
+    )
+
+
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per entity: place, size, tiers, shares and newest retention."""
-    newest = retention(spark, sf_dir, latest=True).select(
-        "entity_id", "ft_rate", "pt_rate", "overall_rate", "load_ratio"
-    )
-    described = attach(peer_attributes(spark, sf_dir), newest, key="entity_id")
     published = ["pct_filled", "pct_urgent", "ft_rate", "pt_rate", "overall_rate", "load_ratio"]
-    return described.select(
+    return described(spark, sf_dir).select(
         "entity_id",
         "entity_name",
         "nation_name",

@@ -309,7 +309,7 @@ def blended_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def peer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(ob.peer_attributes(spark, sf_dir).drop("balance"))
+    return published(ob.peer_attributes(spark, sf_dir))
 
 
 def dim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def test_only_needed_columns_are_read(spark, con):
 
 
 def test_newest_year_is_pushed_to_the_scan(spark, con):
-    plan = executed(orderbook.enrollment(spark, SF))
+    plan = executed(orderbook.newest_profile(spark, SF))
     assert "GreaterThanOrEqual(o_orderdate,ScalarSubquery" in plan
 
 
