@@ -79,10 +79,12 @@ def landed_schema(family: str) -> str:
     return f"{columns}, YEAR int"
 
 
-def _read_year(spark: SparkSession, path: str) -> tuple[DataFrame | None, str | None]:
+def _read_year(
+    spark: SparkSession, path: str, multiline: bool
+) -> tuple[DataFrame | None, str | None]:
     """Text columns of one file, or the state of a load that cannot go on."""
     try:
-        return read_mixed_encodings(spark, [path]), None
+        return read_mixed_encodings(spark, [path], multiline), None
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None, quality.NOT_PUBLISHED
@@ -99,12 +101,14 @@ def land(
     out: str,
     scope: Scope | None = Scope(),
     strict: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Files to Parquet under out/<family>, partitioned by year; returns the load audit.
 
     The directory comes first: its ids, over all years, restrict every other
     family. Without a scope everything is kept. The audit has a row per family
-    and year with status, reason and row_count.
+    and year with status, reason and row_count. Files whose quoted values hold
+    line breaks need multiline, at the price of one task per file.
     """
     audit: list[tuple[str, int, str, str | None, int]] = []
     ids = None
@@ -112,7 +116,7 @@ def land(
     for family in families:
         frames, years = [], []
         for year, path in catalogue.files(family):
-            raw, state = _read_year(spark, path)
+            raw, state = _read_year(spark, path, multiline)
             if raw is None:
                 audit.append((family, year, state, f"no file {path}", 0))
                 continue

@@ -42,14 +42,17 @@ def read_text_columns(
 ) -> DataFrame:
     """Header row read, names cleaned, every value still text.
 
-    Types are declared later, so no inference pass runs over the data. Values
-    with line breaks need multiline, which gives up splitting a file.
+    Types are declared later, so no inference pass runs over the data. The paths of
+    one call must share a header; one that differs stops the job instead of being
+    read into the wrong columns. Values with line breaks need multiline, which gives
+    up splitting a file.
     """
     df = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("multiLine", multiline)
+        .option("enforceSchema", False)
         .csv(paths)
     )
     return clean_columns(df)
@@ -98,6 +101,7 @@ def read_family(
     year_column: str = "YEAR",
     encodings: Mapping[str, str] | None = None,
     strict: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """All years of a family as one relation, united by name, each stamped with its year.
 
@@ -108,7 +112,7 @@ def read_family(
     encodings = encodings or {}
     yearly = []
     for year, path in catalogue.files(family):
-        raw = read_text_columns(spark, path, encodings.get(path, UTF8))
+        raw = read_text_columns(spark, path, encodings.get(path, UTF8), multiline)
         yearly.append(
             typed_columns(raw, schema, strict=strict).withColumn(year_column, F.lit(year))
         )
@@ -131,13 +135,15 @@ def utf8_by_file(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
     return {row.file: row.utf8 for row in checked.collect()}
 
 
-def read_mixed_encodings(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_mixed_encodings(
+    spark: SparkSession, paths: list[str], multiline: bool = False
+) -> DataFrame:
     """UTF-8 where a file is valid UTF-8, latin-1 where it is not, decided per file."""
     utf8 = utf8_by_file(spark, paths)
     if not utf8:
-        return read_text_columns(spark, paths)
+        return read_text_columns(spark, paths, multiline=multiline)
     groups = [
         (UTF8, sorted(f for f, ok in utf8.items() if ok)),
         (LATIN1, sorted(f for f, ok in utf8.items() if not ok)),
     ]
-    return unite([read_text_columns(spark, fs, enc) for enc, fs in groups if fs])
+    return unite([read_text_columns(spark, fs, enc, multiline) for enc, fs in groups if fs])

@@ -102,6 +102,22 @@ def test_encodings_are_decided_per_file(spark, tmp_path):
     assert {r.ID: r.NAME for r in rows} == {"1": "Peña", "2": "Ascii", "3": "Peña", "4": "漢字"}
 
 
+def test_line_breaks_inside_values(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'ID,NAME\n1,"two\nlines"\n2,x\n')
+    rows = delimited.read_mixed_encodings(spark, [path], multiline=True).collect()
+    assert sorted((r.ID, r.NAME) for r in rows) == [("1", "two\nlines"), ("2", "x")]
+
+
+def test_files_read_together_must_share_a_header(spark, tmp_path):
+    paths = [
+        write(tmp_path / "a.csv", "\ufeffID ,NAME\n1,x\n"),
+        write(tmp_path / "b.csv", "NAME,ID\ny,2\n"),
+    ]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        delimited.read_text_columns(spark, paths).collect()
+    assert delimited.read_text_columns(spark, paths[0]).select("ID").first().ID == "1"
+
+
 def test_base_file_wins_over_revised():
     assert precedence.preferred_file(["ef2020d_rv.csv", "ef2020d.csv"]) == "ef2020d.csv"
     assert precedence.preferred_file(["B.csv", "a.csv"]) == "a.csv"
