@@ -29,7 +29,7 @@ def bucket(code: Column, buckets: Mapping[str, Iterable[int]], default: str) ->
 
 
 def equals_code(code: Column, value: float) -> Column:
-    """Numeric comparison: text that is no number never matches, and '99', '99.0' and 99 are one code."""
+    """Numeric comparison: '99', '99.0' and 99 are one code, other text never matches."""
     return code.try_cast("double") == F.lit(float(value))
 
 

@@ -661,7 +661,8 @@ def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     exports.write_json(exports.chart_records(mart, 1996, 1999, columns), path)
     return published(
         spark.read.schema(
-            "entity string, year int, grad_rate double, retention double, degrees bigint, gap_r double"
+            "entity string, year int, grad_rate double, retention double, "
+            "degrees bigint, gap_r double"
         ).json(path)
     )
 

@@ -106,7 +106,8 @@ def export_tables(
             rows = write_csv(tables[name], f"{outdir}/{name}.csv")
             report.append((name, "csv", rows))
         if fmt in ("parquet", "both"):
-            report.append((name, "parquet", write_parquet(tables[name], f"{outdir}/{name}.parquet")))
+            rows = write_parquet(tables[name], f"{outdir}/{name}.parquet")
+            report.append((name, "parquet", rows))
     return spark.createDataFrame(report, "table_name string, format string, row_count bigint")
 
 

@@ -13,7 +13,8 @@ BYTE_ORDER_MARKS = ("\ufeff", "\u00ef\u00bb\u00bf")
 class MissingColumns(ValueError):
     def __init__(self, missing: list[str], where: str = ""):
         self.missing = missing
-        super().__init__(f"missing required columns{where and ' in ' + where}: {', '.join(missing)}")
+        place = f" in {where}" if where else ""
+        super().__init__(f"missing required columns{place}: {', '.join(missing)}")
 
 
 def clean_name(name: str) -> str:
