@@ -40,17 +40,19 @@ def settled(df: DataFrame) -> DataFrame:
 
 def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str,
                 per_task: int = RANK_ROWS, rows: int | None = None) -> DataFrame:
-    """Adds ``out``: a gapless rank from 0 within each group, in the order of a hash of ``order``.
+    """Adds ``out``: a gapless rank from 0 within each group, in an order hashed from ``order``.
 
     A group's rows are dealt to buckets by that hash, ranked in their bucket, and shifted by the
     rows of the earlier buckets, so a group with a third of all rows is ranked by many tasks.
-    The number of buckets follows the number of rows. Null groups are a group of their own.
+    The number of buckets follows the number of rows; the rank is by bucket, hash, then ``order``. Null groups are a group of their own.
     Rows equal in all order columns get adjacent ranks in any order.
     """
     rows = df.count() if rows is None else rows
     buckets = max(1, math.ceil(rows / per_task))
-    keyed = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    inside = Window.partitionBy(*group, "__bucket").orderBy(F.xxhash64(*order), *order)
+    keyed = df.withColumn("__hash", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")))
+    leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
+    keyed = keyed.withColumn("__bucket", (leading % buckets).cast("int"))
+    inside = Window.partitionBy(*group, "__bucket").orderBy("__hash", *order)
     placed = keyed.withColumn("__place", F.row_number().over(inside).cast("long"))
     counts = keyed.groupBy(*group, "__bucket").agg(F.count("*").alias("__rows"))
     before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -73,9 +73,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     An empty table gives an empty result.
     """
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    order = [c for c in ("doc_id", "text") if c in docs.columns]
-    key = F.xxhash64(*order) if order else F.lit(0)
-    rows = docs.select(as_row(docs), source.alias("source"), key.alias("__key"))
+    rows = docs.select(as_row(docs), source.alias("source"), F.col("doc_id").alias("__key"))
     counted = rows.groupBy("source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(counted) > MAX_SOURCES:
         raise ValueError(f"a mixture has at most {MAX_SOURCES} sources")

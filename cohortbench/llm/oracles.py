@@ -1,3 +1,167 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Left out: hashes that DuckDB lacks (SimHash), learnt models (personal data, toxicity) and approximate
+search. Tests hold those against brute force.
+"""
+
+from cohortbench.llm.chat import TURNS_PER_PART
+from cohortbench.llm.common import RANK_ROWS
+from cohortbench.llm.mixing import BLOCK_ROWS, PERIOD, TEMPER
+from cohortbench.llm.packing import BUCKETS, BUDGET, MAX_LENGTH
+from cohortbench.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def rank_sql(group: str, order: str, rows: str) -> str:
+    """The rank of ``global_rank``: by bucket, hash, then the order itself."""
+    digest = f"md5(concat_ws('|', {order}))"
+    bucket = f"(('0x' || substr({digest}, 1, 8))::BIGINT % greatest(1, ceil({rows} / {RANK_ROWS}))::BIGINT)"
+    return f"row_number() OVER (PARTITION BY {group} ORDER BY {bucket}, {digest}, {order}) - 1"
+
+
+CHAT = f"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM t),
+p AS (SELECT conv_id, place, list([role, text]) OVER (PARTITION BY conv_id ORDER BY place) AS prefix FROM n),
+w AS (SELECT conv_id, max(place) AS n_turns, arg_max(prefix, place) AS whole FROM p GROUP BY conv_id),
+f AS (SELECT min(conv_id) AS conv_id, n_turns, whole, count(*) AS copies FROM w GROUP BY n_turns, whole),
+i AS (SELECT DISTINCT prefix FROM p JOIN w USING (conv_id) WHERE place < n_turns),
+m AS (SELECT conv_id, n_turns, copies FROM f WHERE whole NOT IN (SELECT prefix FROM i))
+SELECT m.conv_id, ((place - 1) // {TURNS_PER_PART})::BIGINT AS part, any_value(n_turns)::BIGINT AS n_turns,
+  any_value(copies)::BIGINT AS copies,
+  string_agg('<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10),
+             '' ORDER BY place) AS text
+FROM m JOIN n ON n.conv_id = m.conv_id GROUP BY m.conv_id, (place - 1) // {TURNS_PER_PART}
+"""
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+w AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i
+      FROM (SELECT r, regexp_extract_all(text, '{WORD}') AS words FROM d)),
+g AS (SELECT *, lag(word) OVER p AS before,
+        CASE WHEN lead(word, 4) OVER p IS NOT NULL THEN
+          [word, lead(word, 1) OVER p, lead(word, 2) OVER p, lead(word, 3) OVER p, lead(word, 4) OVER p] END AS gram
+      FROM w WINDOW p AS (PARTITION BY r ORDER BY i)),
+k AS (SELECT *, gram IS NOT NULL AND count(*) OVER (PARTITION BY r, gram) > 1 AS again FROM g),
+c AS (SELECT *, max(again::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inside FROM k),
+a AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars, sum(inside) AS n_repeat_words,
+        count(*) FILTER (word = before) AS same FROM c GROUP BY r),
+l AS (SELECT r, count(*) AS lines, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '{WORD}') GROUP BY r),
+s AS (SELECT r, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS upper,
+        length(text) - length(regexp_replace(text, '[a-z]', '', 'g')) AS lower,
+        length(text) - length(replace(text, '!', '')) AS marks,
+        strlen(text) - length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS beyond,
+        strlen(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS solid,
+        strlen(regexp_replace(text, '[\x20-\x40\x5B-\x60\x7B-\x7F\x00-\x1F]', '', 'g')) AS letters,
+        length(text) - length(replace(text, chr(10), '')) AS breaks FROM d),
+f AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+        n_symbols::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(same, 0) AS same, coalesce(lines, 0) AS lines,
+        upper, lower, marks, solid, letters, breaks
+      FROM d JOIN s USING (r) LEFT JOIN a USING (r) LEFT JOIN l USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 5 * n_symbols > n_words OR upper > lower OR 5 * marks > n_words OR 5 * same > n_words
+       OR breaks >= 5 AND lines >= 6 AND 3 * n_dup_lines > lines OR 2 * letters < solid) AS kept
+FROM b
+"""
+
+SHARDS = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size, sha256(coalesce(text, '')) AS key,
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS digits FROM documents),
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+g AS (SELECT key, sum(size)::BIGINT AS load, min(doc_id) AS tie FROM d GROUP BY key),
+o AS (SELECT *, row_number() OVER (ORDER BY load DESC, tie, key) AS i FROM g),
+s AS (
+  SELECT 0::BIGINT AS i, ''::VARCHAR AS key, -1 AS shard, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS loads
+  UNION ALL
+  SELECT o.i, o.key, list_position(loads, list_min(loads)) - 1,
+    list_transform(loads, lambda x, n: CASE WHEN n = list_position(loads, list_min(loads)) THEN x + o.load ELSE x END)
+  FROM s JOIN o ON o.i = s.i + 1)
+SELECT doc_id, size,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(digits, lambda h: ('0x' || h)::BIGINT)),
+                  lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)::BIGINT AS text_crc32,
+  'bytes' AS law, shard::INT AS shard,
+  ({rank_sql('shard', 'doc_id, key', '(SELECT count(*) FROM d)')})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM d JOIN s USING (key) CROSS JOIN crc_table
+"""
+
+MIX = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source FROM documents),
+c AS (SELECT source, count(*) AS n FROM d GROUP BY source),
+e AS (SELECT *, greatest({PERIOD}, 10 * count(*) OVER ()) AS period, n ** {TEMPER} / sum(n ** {TEMPER}) OVER () AS share FROM c),
+q AS (SELECT *, greatest(1, floor(period * share))::BIGINT AS low, period * share AS exact FROM e),
+z AS (SELECT *, low + (row_number() OVER (ORDER BY low - exact, source) <= period - sum(low) OVER ())::BIGINT AS per,
+        row_number() OVER (ORDER BY source) AS s FROM q),
+v AS (SELECT list(per ORDER BY s) AS pers, any_value(period)::BIGINT AS period FROM z),
+x AS (
+  SELECT 0::BIGINT AS t, list_transform(pers, lambda p: 0::BIGINT) AS done, [0, 0, 0, 0]::BIGINT[] AS pick FROM v
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda k, i: k + (i = best[2])::BIGINT), best
+  FROM (SELECT t, done, list_min(list_filter(list_transform(done, lambda k, i:
+          CASE WHEN k < pers[i] AND k * period // pers[i] <= t
+               THEN [-(-(k + 1) * period // pers[i] - ((k + 1) * period % pers[i] > 0)::BIGINT), i, k, k * period // pers[i]] END),
+          lambda y: y IS NOT NULL)) AS best FROM x, v WHERE t < period)),
+k AS (SELECT t - 1 AS t, pick[1] AS deadline, pick[2] AS s, pick[3] AS k, pick[4] AS release FROM x WHERE t > 0),
+r AS (SELECT doc_id, source, s, per, n, period::BIGINT AS period,
+        {rank_sql('source', 'doc_id', '(SELECT count(*) FROM d)')} AS rank FROM d JOIN z USING (source)),
+h AS (SELECT max((((n + {BLOCK_ROWS} - 1) // {BLOCK_ROWS} - 1) // per) * period + t) + 1 AS stop
+      FROM z JOIN k ON k.s = z.s AND k.k = ((n + {BLOCK_ROWS} - 1) // {BLOCK_ROWS} - 1) % per),
+u AS (SELECT r.*, stop, unnest(range(0, ((ceil(stop / period)::BIGINT * per * {BLOCK_ROWS} - 1 - rank) // n) + 1)) AS epoch FROM r, h),
+b AS (SELECT *, rank + epoch * n AS place, (rank + epoch * n) // {BLOCK_ROWS} AS block FROM u)
+SELECT doc_id, source, epoch::BIGINT AS epoch, block::BIGINT AS block,
+  (block // per * period + release)::BIGINT AS release, (block // per * period + deadline)::BIGINT AS deadline,
+  (block // per * period + t)::BIGINT AS slot,
+  ((block // per * period + t) * {BLOCK_ROWS} + place % {BLOCK_ROWS})::BIGINT AS position
+FROM b JOIN k ON k.s = b.s AND k.k = block % per WHERE block // per * period + t < stop
+"""
+
+
+def packing_sql() -> str:
+    """The best last bucket for every number of buckets and every bound, then the bounds back from the last."""
+    levels = ["c1 AS (SELECT j, len, len * total AS cost, NULL::BIGINT AS cut FROM h)"]
+    for k in range(2, BUCKETS + 1):
+        levels.append(f"""
+c{k} AS (SELECT p.j, p.len, least(p.cost, m.cost) AS cost, CASE WHEN m.cost < p.cost THEN m.i END AS cut
+  FROM c{k - 1} p LEFT JOIN (
+    SELECT b.j, min(a.cost + b.len * (b.total - x.total)) AS cost, arg_min(a.j, (a.cost + b.len * (b.total - x.total), a.j)) AS i
+    FROM c{k - 1} a JOIN h x ON x.j = a.j JOIN h b ON b.j > a.j GROUP BY b.j) m ON m.j = p.j)""")
+    walk = [f"w{BUCKETS} AS (SELECT max(j) AS j FROM h)"]
+    for k in range(BUCKETS - 1, 0, -1):
+        walk.append(f"w{k} AS (SELECT coalesce(c.cut, w.j) AS j FROM w{k + 1} w JOIN c{k + 1} c ON c.j = w.j)")
+    bounds = " UNION ".join(f"SELECT j FROM w{k}" for k in range(1, BUCKETS + 1))
+    room = MAX_LENGTH - 1
+    return f"""
+WITH d AS (SELECT doc_id, length(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS n FROM documents),
+q AS (SELECT doc_id, chunk, least({room}, n - chunk * {room}) + 1 AS length
+      FROM (SELECT *, unnest(range(greatest(1, (n + {room - 1}) // {room}))) AS chunk FROM d)),
+h AS (SELECT length AS len, row_number() OVER (ORDER BY length) AS j,
+        (sum(count(*)) OVER (ORDER BY length))::BIGINT AS total FROM q GROUP BY length),
+{", ".join(levels)},
+{", ".join(walk)},
+b AS (SELECT len AS bound, row_number() OVER (ORDER BY len) - 1 AS bucket FROM h WHERE j IN ({bounds})),
+s AS (SELECT q.*, min(b.bucket) AS bucket, min(b.bound) AS bound FROM q JOIN b ON b.bound >= q.length GROUP BY ALL),
+r AS (SELECT *, {rank_sql('bucket', 'doc_id, chunk', '(SELECT count(*) FROM q)')} AS rank FROM s)
+SELECT doc_id, chunk::BIGINT AS chunk, length::BIGINT AS length, bucket::INT AS bucket, bound::BIGINT AS bound,
+  (bound - length)::BIGINT AS padding, (rank // ({BUDGET} // bound))::BIGINT AS batch, (rank % ({BUDGET} // bound))::BIGINT AS slot
+FROM r
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_pfair_mix": MIX,
+    "op6_quality_cascade": QUALITY,
+    "op8_length_buckets": packing_sql(),
+    "op9_lpt_shards": SHARDS,
+    "op10_chat_snapshots": CHAT,
+}

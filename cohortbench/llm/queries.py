@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortbench.llm import chat, mixing, packing, pii, quality, sharding, simhash, url_rules
+from cohortbench.llm import ann, chat, mixing, packing, pii, quality, sharding, simhash, toxicity, url_rules
 
 URL_RULES = [url_rules.Rule("block", "net/"), url_rules.Rule("allow", "example.net/en/"),
              url_rules.Rule("block", "example.com/de/"), url_rules.Rule("allow", "org/fr/")]
@@ -38,6 +38,15 @@ def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "release", "deadline", "slot", "position")
 
 
+def op4_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "embeddings")
+    return ann.nearest(base, base.where(F.col("vec_id") % 20 == 0))
+
+
+def op5_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.measured(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -63,5 +72,5 @@ def op10_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_rules, op2_pii_spans, op3_pfair_mix, op6_quality_cascade, op7_simhash_gray,
-    op8_length_buckets, op9_lpt_shards, op10_chat_snapshots)}
+    op1_url_rules, op2_pii_spans, op3_pfair_mix, op4_graph_ann, op5_toxicity_gru, op6_quality_cascade,
+    op7_simhash_gray, op8_length_buckets, op9_lpt_shards, op10_chat_snapshots)}
