@@ -62,7 +62,15 @@ AGAINST = r"(?i)(?:\b(?:version|ver|release|order|invoice|isbn|issn|doi|serial|s
 #: Characters before a span that context labelers see.
 LOOK_BACK = 40
 
-LABELERS = ("pattern", "check", "gazetteer", "context", "against", "edges")
+#: The labelers, and how often each is taken to be right before any vote is seen.
+LABELERS = {"pattern": 0.7, "check": 0.99, "gazetteer": 0.65, "context": 0.9, "against": 0.8, "edges": 0.6}
+
+#: Labelers that apply a kind's own definition, such as the Luhn check: not estimated anew, so that
+#: others which often agree with each other can't outvote the definition.
+ANCHORS = ("check",)
+
+#: Votes that this belief is worth.
+BELIEF = 20.0
 
 
 def _digits(text: Column) -> Column:
@@ -210,10 +218,12 @@ def reliabilities(counts: Counts, rounds: int = 50) -> tuple[dict, dict[int, flo
     """Expectation-maximisation over equal votes: (probability of each pattern, prior of each kind,
     share of correct votes of each labeler and kind).
 
-    Starts from labelers that are right four times in five; two pseudo-votes of each keep a labeler
-    that hardly votes near that. Labelers are independent given the truth; an abstention says nothing.
+    Starts from the beliefs in LABELERS, which also count as some votes, so that a labeler that hardly
+    votes stays near them. Labelers are independent given the truth; an abstention says nothing.
     """
-    right = {(k, j): 0.8 for k in range(len(KINDS)) for j in range(len(LABELERS))}
+    belief = list(LABELERS.values())
+    anchored = {j for j, name in enumerate(LABELERS) if name in ANCHORS}
+    right = {(k, j): belief[j] for k in range(len(KINDS)) for j in range(len(belief))}
     prior = dict.fromkeys(range(len(KINDS)), 0.5)
     soft: dict = {}
     for _ in range(rounds):
@@ -222,7 +232,7 @@ def reliabilities(counts: Counts, rounds: int = 50) -> tuple[dict, dict[int, flo
             for j, v in enumerate(votes):
                 odds += v * math.log(right[k, j] / (1 - right[k, j]))
             soft[k, votes, size] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-        total = {key: [8.0, 10.0] for key in right}
+        total = {key: [BELIEF * belief[key[1]], BELIEF] for key in right}
         mass = {k: [5.0, 10.0] for k in prior}
         for (k, votes, size), n in counts.items():
             p = soft[k, votes, size]
@@ -232,7 +242,8 @@ def reliabilities(counts: Counts, rounds: int = 50) -> tuple[dict, dict[int, flo
                 if v:
                     total[k, j][0] += n * (p if v > 0 else 1 - p)
                     total[k, j][1] += n
-        right = {key: min(0.99, max(0.55, a / b)) for key, (a, b) in total.items()}
+        right = {(k, j): belief[j] if j in anchored else min(0.97, max(0.55, a / b))
+                 for (k, j), (a, b) in total.items()}
         prior = {k: min(0.99, max(0.01, a / b)) for k, (a, b) in mass.items()}
     return soft, prior, right
 

@@ -183,7 +183,8 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), training: Training = Training()) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from one half) of every row of ``docs``.
 
-    Learnt from the texts alone; repeated rows score alike. Without labels of both kinds every text gets
+    Learnt from the texts alone; repeated rows score alike, up to the rounding of
+    single precision. Without labels of both kinds every text gets
     the share of toxic labels.
     """
     scorer = fit(*labelled_texts(docs, labels, sample), training)

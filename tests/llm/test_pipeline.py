@@ -1,0 +1,78 @@
+"""The pipeline stage by stage, each against its own input."""
+
+import pytest
+
+import corpus_pipeline
+from cohortbench.llm import quality, simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stages"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        out.append(docs)
+    return out
+
+
+def test_stages_keep_the_columns(stages):
+    for docs in stages[1:-1]:
+        assert docs.dtypes == stages[0].dtypes
+
+
+def test_rules_reject_what_any_rule_rejects(stages):
+    rows = stages[0].collect()
+    failed = quality.cascade([(r["text"] or "").encode() for r in rows], quality.ALL_RULES)
+    assert {r["doc_id"] for r in stages[1].collect()} == {r["doc_id"] for r, f in zip(rows, failed, strict=True) if f is None}
+
+
+def test_one_of_each_group_stays(stages):
+    rows = stages[1].collect()
+    codes = {r["doc_id"]: simhash.fingerprint((r["text"] or "").encode()) for r in rows}
+    kept, seen = set(), []
+    ids = sorted(codes)
+    group = {}
+    for i in ids:
+        if i not in group:
+            group[i], front = i, [i]
+            while front:
+                c = front.pop()
+                for j in ids:
+                    if j not in group and (codes[c] ^ codes[j]).bit_count() <= 2:
+                        group[j] = i
+                        front.append(j)
+            kept.add(i)
+            seen.append(i)
+    assert sorted(r["doc_id"] for r in stages[2].collect()) == sorted(kept)
+
+
+def test_personal_data_goes_and_documents_stay(stages):
+    before, after = {r["doc_id"]: r["text"] for r in stages[2].collect()}, {r["doc_id"]: r["text"] for r in stages[3].collect()}
+    assert set(before) == set(after) and not any("@mail" in t for t in after.values())
+
+
+def test_mix_keeps_every_document(stages):
+    assert {tuple(r) for r in stages[4].collect()} == {tuple(r) for r in stages[3].collect()}
+
+
+def test_packs_hold_every_text(stages):
+    docs = {r["doc_id"]: r["text"] for r in stages[4].collect()}
+    rows = stages[5].collect()
+    assert {r["doc_id"] for r in rows} == set(docs)
+    for r in rows:
+        assert r["text"] in docs[r["doc_id"]] and len(r["text"].split()) + 1 == r["length"] <= r["bound"]
+    assert sum(r["length"] - 1 for r in rows) == sum(len(r["text"].encode().split()) for r in stages[4].collect())
+
+
+def test_run_and_empty_tables(spark, odd_docs, no_docs, stages):
+    assert corpus_pipeline.run(spark, SF).count() == stages[5].count()
+    for docs in (odd_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF)
+            assert docs.columns == odd_docs.columns
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= (docs.count() > 0)
