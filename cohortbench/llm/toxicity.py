@@ -8,7 +8,7 @@ text's label on them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortbench.llm.common import as_row, byte_slices
+from cohortbench.llm.common import BATCH_BYTES, as_row, byte_slices
 from cohortbench.llm.gru import SLOTS, Network, Optimiser, Words, part_of, read_words, windows
 
 
@@ -84,24 +84,66 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()
     return [r["text"].encode() for r in rows], np.array([r["toxic"] for r in rows], np.float32), share
 
 
-def _frequent(doc: np.ndarray, slot: np.ndarray, least: int) -> np.ndarray:
-    """Slot to row, from 1, of the slots that at least ``least`` texts hold; 0 for the others."""
+@dataclass
+class Part:
+    """Some consecutive texts of the sample, read."""
+
+    words: Words
+    places: np.ndarray
+    row: np.ndarray  # of each window, counted over the whole sample
+
+
+def _texts_by_slot(doc: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """In how many texts each slot occurs."""
     pairs = np.unique(doc.astype(np.int64) * SLOTS + slot)
-    texts = np.bincount(pairs % SLOTS, minlength=SLOTS)
+    return np.bincount(pairs % SLOTS, minlength=SLOTS)
+
+
+def _rows(texts: np.ndarray, least: int) -> np.ndarray:
+    """Slot to row, from 1, of the slots that at least ``least`` texts hold; 0 for the others."""
     rows = np.zeros(SLOTS, np.int32)
     often = np.flatnonzero(texts >= least)
     rows[often] = np.arange(1, len(often) + 1)
     return rows
 
 
-def _vocabulary(words: Words, least: int) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.unique(words.row.astype(np.int64) * (len(words.slot) + 1) + words.place)
-    doc, place = np.divmod(pairs, len(words.slot) + 1)
-    first = np.searchsorted(words.gram_word, place, "left")
-    count = np.searchsorted(words.gram_word, place, "right") - first
-    inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    return (_frequent(doc, words.slot[place], least),
-            _frequent(np.repeat(doc, count), words.gram_slot[np.repeat(first, count) + inner], least))
+def _read(texts: list[bytes], least: int) -> tuple[list[Part], Network]:
+    """The sample in parts of about BATCH_BYTES, and a fresh network over its frequent words and n-grams.
+
+    Only one part's n-grams are held in full at a time.
+    """
+    in_texts, gram_texts, parts = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64), []
+    ends = np.cumsum([len(t) for t in texts])
+    first = 0
+    while first < len(texts):
+        end = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BATCH_BYTES, "right")))
+        some = texts[first:end]
+        rows = np.concatenate([[0], np.cumsum([len(t) for t in some], dtype=np.int64)])
+        words = read_words(np.frombuffer(b"".join(some), np.uint8), rows)
+        places, row = windows(words, len(some))
+        pairs = np.unique(words.row.astype(np.int64) * (len(words.slot) + 1) + words.place)
+        doc, place = np.divmod(pairs, len(words.slot) + 1)
+        begin = np.searchsorted(words.gram_word, place, "left")
+        count = np.searchsorted(words.gram_word, place, "right") - begin
+        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        in_texts += _texts_by_slot(doc, words.slot[place])
+        gram_texts += _texts_by_slot(np.repeat(doc, count), words.gram_slot[np.repeat(begin, count) + inner])
+        words = replace(words, gram_word=words.gram_word.astype(np.int32), gram_slot=words.gram_slot.astype(np.int32))
+        parts.append(Part(words, places.astype(np.int32), row + first))
+        first = end
+    net = Network.fresh(_rows(in_texts, least), _rows(gram_texts, least))
+    for part in parts:
+        known = net.gram_rows[part.words.gram_slot] > 0
+        part.words = replace(part.words, gram_word=part.words.gram_word[known], gram_slot=part.words.gram_slot[known])
+    return parts, net
+
+
+def _worst(net: Network, parts: list[Part], n: int) -> np.ndarray:
+    """The largest logit of each text's windows."""
+    z = np.full(n, -np.inf)
+    for part in parts:
+        np.maximum.at(z, part.row, net.logits(part.words, part.places).astype(float))
+    return z
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, share: float, training: Training = Training()) -> Scorer:
@@ -110,42 +152,39 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float, training: Training
         return Scorer(None, constant=float(share))
     rng = np.random.default_rng(training.seed)
     tune = rng.permutation(len(texts)) % 5 == 0
-    rows = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-    words = read_words(np.frombuffer(b"".join(texts), np.uint8), rows)
-    places, row = windows(words, len(texts))
-    net = Network.fresh(*_vocabulary(words, training.least_texts))
+    parts, net = _read(texts, training.least_texts)
     learner = Optimiser(net)
-    learn = ~tune[row]
     balance = np.where(toxic > 0, 1.0, toxic.mean() / (1 - toxic.mean())).astype(np.float32) * 2
 
-    def pick(most: int) -> np.ndarray:
-        """The worst windows of each text that is learnt, and for clean ones as many others."""
-        z = net.logits(words, places)
-        order = np.lexsort((-z, row))
+    def pick(part: Part, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """Windows to learn, and their weights: at first some of each text, which share its weight;
+        then the worst ones of each text, and for clean ones as many others."""
+        row = part.row
+        learn = ~tune[row]
+        key = rng.random(len(row)) if turn == 0 else -net.logits(part.words, part.places)
+        order = np.lexsort((key, row))
         rank = np.arange(len(row)) - np.searchsorted(row, row)
-        chosen = order[(rank < np.where(toxic[row] > 0, 1, most)) & learn[order]]
+        if turn == 0:
+            most = training.first_windows
+            weight = balance / np.sqrt(np.clip(np.bincount(row, minlength=len(texts)), 1, most))
+            return order[(rank < most) & learn[order]], weight[row].astype(np.float32)
+        chosen = order[(rank < np.where(toxic[row] > 0, 1, 3)) & learn[order]]
         others = np.flatnonzero(learn & (toxic[row] == 0))
-        return np.concatenate([chosen, rng.choice(others, min(len(others), len(chosen) // 2), replace=False)])
+        more = rng.choice(others, min(len(others), len(chosen) // 2), replace=False)
+        return np.concatenate([chosen, more]), balance[row]
 
     for turn in range(training.rounds):
-        if turn == 0:
-            # Nothing is known yet: some windows, those of a text sharing its weight.
-            order = np.lexsort((rng.random(len(row)), row))
-            rank = np.arange(len(row)) - np.searchsorted(row, row)
-            chosen = order[(rank < training.first_windows) & learn[order]]
-            weight = (balance / np.sqrt(np.minimum(np.bincount(row, minlength=len(texts)), training.first_windows)))[row]
-        else:
-            chosen, weight = pick(3), balance[row]
+        picked = [pick(part, turn) for part in parts]
         for _ in range(1 if turn == 0 else 2):
-            chosen = rng.permutation(chosen)
-            for at in range(0, len(chosen), training.batch):
-                some = chosen[at : at + training.batch]
-                part, own = part_of(words, places[some])
-                mute = rng.random(len(part.slot)) < 0.3
-                learner.step(net.gradients(part, own, toxic[row[some]], weight[some], mute))
-    z = np.full(len(texts), -np.inf)
-    np.maximum.at(z, row, net.logits(words, places).astype(float))
-    return Scorer(net, _middle(z[tune], toxic[tune], share))
+            for i in rng.permutation(len(parts)).tolist():
+                part, (chosen, weight) = parts[i], picked[i]
+                chosen = rng.permutation(chosen)
+                for at in range(0, len(chosen), training.batch):
+                    some = chosen[at : at + training.batch]
+                    words, own = part_of(part.words, part.places[some])
+                    mute = rng.random(len(words.slot)) < 0.3
+                    learner.step(net.gradients(words, own, toxic[part.row[some]], weight[some], mute))
+    return Scorer(net, _middle(_worst(net, parts, len(texts))[tune], toxic[tune], share))
 
 
 def _middle(z: np.ndarray, toxic: np.ndarray, share: float) -> float:
