@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 _own_dir: tempfile.TemporaryDirectory | None = None
 
 #: Rows that one task ranks; more rows mean more tasks.
-RANK_ROWS = 50_000
+RANK_ROWS = 10_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
