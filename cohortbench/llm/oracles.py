@@ -1,7 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express.
 
 Left out: hashes that DuckDB lacks (SimHash), learnt models (personal data, toxicity) and approximate
-search. Tests hold those against brute force.
+search. Tests hold those against brute force. FP-growth's rules are counted here from all token sets.
 """
 
 from cohortbench.llm.chat import TURNS_PER_PART
@@ -9,6 +9,8 @@ from cohortbench.llm.common import RANK_ROWS
 from cohortbench.llm.mixing import BLOCK_ROWS, PERIOD, TEMPER
 from cohortbench.llm.packing import BUCKETS, BUDGET, MAX_LENGTH
 from cohortbench.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS
+from cohortbench.llm.rules import URL_RULES
+from cohortbench.llm.url_rules import BLOCK, LOWER, UPPER, Mining
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,6 +22,56 @@ def rank_sql(group: str, order: str, rows: str) -> str:
     return f"row_number() OVER (PARTITION BY {group} ORDER BY {bucket}, {digest}, {order}) - 1"
 
 
+def tagged(tag: str, parts: str) -> str:
+    return (f"list_transform(list_filter({parts}, lambda p: p <> ''), "
+            f"lambda p: '{tag}:' || regexp_replace(p, '[0-9]+', '#', 'g'))")
+
+
+def url_sql(mining: Mining = Mining()) -> str:
+    longest = sorted(URL_RULES, key=lambda r: -len(r.text))
+    fits = [(r, f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')") for r in longest]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.text}'" for r, f in fits) + " END"
+    listed = "CASE rule " + " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in longest) + " END"
+    tokens = " || ".join([
+        tagged("scheme", "[regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)]"),
+        tagged("top", "[labels[-1]]"), tagged("host", "list_slice(labels, 1, len(labels) - 1)"),
+        tagged("word", "flatten(list_transform(list_filter(labels, lambda p: contains(p, '-')), lambda p: string_split(p, '-')))"),
+        tagged("folder", "list_slice(string_split(path, '/'), 1, len(string_split(path, '/')) - 1)"),
+        tagged("ending", r"[regexp_extract(path, '\.([A-Za-z0-9]{1,8})$', 1)]"),
+        tagged("key", r"list_transform(string_split(regexp_extract(url, '(?s)\?([^#]*)', 1), '&'), lambda p: split_part(p, '=', 1))"),
+        tagged("mark", "[CASE WHEN contains(url, '#') THEN 'yes' ELSE '' END]"),
+    ])
+    return rf"""
+WITH u AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, string_split(host, '.') AS labels, {rule} AS rule FROM u),
+b AS (SELECT page_id, host, path, rule, {listed} AS listed,
+        CASE WHEN host = '' THEN []::VARCHAR[] ELSE list_sort(list_distinct({tokens})) END AS tokens FROM r),
+m AS (SELECT doc_id AS page_id, bool_or(quality = 0 OR toxic = 1) AS marked FROM labels
+      WHERE doc_id IS NOT NULL GROUP BY doc_id),
+k AS (SELECT tokens, coalesce(listed = '{BLOCK}', marked) AS block FROM b LEFT JOIN m USING (page_id)),
+g AS (SELECT row_number() OVER () AS i, tokens, count(*) AS n, count(*) FILTER (WHERE block) AS bad
+      FROM k WHERE block IS NOT NULL AND len(tokens) > 0 GROUP BY tokens),
+e AS (SELECT i, unnest(tokens) AS t, n, bad FROM g),
+s AS (
+  SELECT [t] AS needs, n, bad FROM e
+  UNION ALL SELECT [x.t, y.t], x.n, x.bad FROM e x JOIN e y ON x.i = y.i AND x.t < y.t
+  UNION ALL SELECT [x.t, y.t, z.t], x.n, x.bad FROM e x JOIN e y ON x.i = y.i AND x.t < y.t
+            JOIN e z ON x.i = z.i AND y.t < z.t),
+c AS (SELECT needs, sum(bad)::DOUBLE / sum(n)::DOUBLE AS confidence, sum(bad)::DOUBLE / (SELECT sum(n) FROM g) AS support
+      FROM s GROUP BY needs HAVING sum(bad) >= ceil({mining.min_support} * (SELECT sum(n) FROM g))
+        AND sum(bad)::DOUBLE / sum(n)::DOUBLE >= {mining.min_confidence}),
+f AS (SELECT *, array_to_string(needs, ' ') AS text FROM c WHERE len(needs) = 1 OR NOT EXISTS (
+        SELECT 1 FROM c o WHERE len(o.needs) = 1 AND list_contains(c.needs, o.needs[1]) AND o.confidence >= c.confidence)),
+a AS (SELECT tokens, arg_max(text, (confidence, support, text)) AS mined, max(confidence) AS confidence
+      FROM (SELECT DISTINCT tokens FROM b WHERE listed IS NULL) JOIN f ON list_has_all(tokens, needs) GROUP BY tokens)
+SELECT page_id, host, path, rule, coalesce(listed, CASE WHEN mined IS NOT NULL THEN '{BLOCK}' ELSE 'allow' END) AS verdict,
+  CASE WHEN listed IS NULL THEN mined END AS mined, CASE WHEN listed IS NULL THEN confidence END AS confidence
+FROM b LEFT JOIN a USING (tokens)
+"""
+
+
 CHAT = f"""
 WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -159,6 +211,7 @@ FROM r
 
 
 ORACLES: dict[str, str] = {
+    "op1_url_rules": url_sql(),
     "op3_pfair_mix": MIX,
     "op6_quality_cascade": QUALITY,
     "op8_length_buckets": packing_sql(),

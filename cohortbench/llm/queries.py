@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortbench.llm import ann, chat, mixing, packing, pii, quality, sharding, simhash, toxicity, url_rules
-
-URL_RULES = [url_rules.Rule("block", "net/"), url_rules.Rule("allow", "example.net/en/"),
-             url_rules.Rule("block", "example.com/de/"), url_rules.Rule("allow", "org/fr/")]
+from cohortbench.llm.rules import URL_RULES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

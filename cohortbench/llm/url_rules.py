@@ -41,7 +41,7 @@ class Mining:
     """Bounds of the mined rules; min_support is a share of the labelled URLs."""
 
     min_support: float = 0.01
-    min_confidence: float = 0.6
+    min_confidence: float = 0.8
     max_tokens: int = 3
 
 
