@@ -24,14 +24,14 @@ from cohortbench.llm.gru import SLOTS, Network, Optimiser, Words, part_of, read_
 class Sample:
     """Bounds of the labelled texts that the network learns from: rows by label, and characters of a text."""
 
-    toxic: int = 1200
-    clean: int = 2400
+    toxic: int = 800
+    clean: int = 1600
     chars: int = 20_000
 
 
 @dataclass(frozen=True)
 class Training:
-    rounds: int = 6
+    rounds: int = 4
     batch: int = 256
     seed: int = 11
     #: Windows of a text in the first round, when nothing tells them apart yet.
