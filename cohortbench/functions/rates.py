@@ -90,13 +90,14 @@ def rate_gap(reference_rate: Column, group_rate: Column) -> Column:
 
 
 def mean_of(c: Column, scale: int, digits: int | None = None) -> Column:
-    """Mean of a decimal column with `scale` digits, as one double division.
+    """Mean of a column held to `scale` digits, as one double division.
 
     The sum runs over unscaled bigints: exact, independent of order, and the only
-    rounding is that of the quotient. Nulls are skipped; no values: null.
+    rounding is that of the quotient. Doubles are read as the decimals they print as,
+    since 0.29 * 100 is below 29 in doubles. Nulls are skipped; no values: null.
     """
     unit = 10**scale
-    total = F.sum((c * F.lit(unit)).cast("bigint")).cast("double")
+    total = F.sum((c.cast(f"decimal(28,{scale})") * F.lit(unit)).cast("bigint")).cast("double")
     count = F.nullif(F.count(c), F.lit(0))
     mean = total / (count * F.lit(unit)).cast("double")
     return mean if digits is None else scaled_round(mean, digits)

@@ -49,35 +49,37 @@ def trend(fact: DataFrame, name: str, metrics: list[str], year: str = "year") ->
 
 
 def by_year_columns(
-    fact: DataFrame, key: list[str], metric: str, years: list[int], year: str = "year"
+    fact: DataFrame, key: str, name: str, metric: str, years: list[int], year: str = "year"
 ) -> DataFrame:
-    """One column per year holding the first non-null value of the cell.
+    """One column per year holding the cell's value, the largest if there are several.
 
     Conditional aggregates in a single groupBy: the year list is given, and the
     wide row per entity is built in one shuffle.
     """
     cells = [
-        F.first(F.when(F.col(year) == y, F.col(metric)), ignorenulls=True).alias(str(y))
+        F.max(F.when(F.col(year) == y, F.col(metric))).alias(str(y))
         for y in years
     ]
-    return fact.where(F.col(year).isin(years)).groupBy(*key).agg(*cells)
+    # Names may be shared or change; the entity is its key.
+    return fact.where(F.col(year).isin(years)).groupBy(key).agg(F.max(name).alias(name), *cells)
 
 
 def year_grid(
-    fact: DataFrame, name: str, metric: str, years: list[int], year: str = "year"
+    fact: DataFrame, key: str, name: str, metric: str, years: list[int], year: str = "year"
 ) -> DataFrame:
     """Every (entity, year) cell, null where the entity has no value.
 
     Built by turning years into columns and back, not from a product of
     entities and years.
     """
-    wide = by_year_columns(fact, [name], metric, years, year)
-    long = wide.unpivot([name], [str(y) for y in years], year, metric)
-    return long.select(name, F.col(year).cast("int").alias(year), metric)
+    wide = by_year_columns(fact, key, name, metric, years, year)
+    long = wide.unpivot([key, name], [str(y) for y in years], year, metric)
+    return long.select(key, name, F.col(year).cast("int").alias(year), metric)
 
 
 def pivot_with_change(
     fact: DataFrame,
+    key: str,
     name: str,
     metric: str,
     years: list[int],
@@ -87,11 +89,11 @@ def pivot_with_change(
 ) -> DataFrame:
     """Year columns plus last minus first; the change is null if either end is."""
     first, last = str(years[0]), str(years[-1])
-    wide = by_year_columns(fact, [name], metric, years, year)
+    wide = by_year_columns(fact, key, name, metric, years, year)
     if drop_empty:
         wide = wide.dropna("all", subset=[str(y) for y in years])
     shown = wide.select(
-        name, *[scaled_round(F.col(str(y)).cast("double"), digits).alias(str(y)) for y in years]
+        key, name, *[scaled_round(F.col(str(y)).cast("double"), digits).alias(str(y)) for y in years]
     )
     change = scaled_round(F.col(last) - F.col(first), digits)
     return shown.withColumn(change_label(years[0], years[-1]), change)

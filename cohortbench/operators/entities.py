@@ -13,10 +13,6 @@ from cohortbench.sources.warehouse import latest_year_rows
 
 log = logging.getLogger("cohortbench")
 
-# Longest literal list put into a plan; longer selections become a join.
-MAX_LITERAL_LIST = 200
-
-
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).where(F.col(key).isNotNull()).distinct()
 
@@ -85,9 +81,7 @@ def attach(entities: DataFrame, *frames: DataFrame, key: str) -> DataFrame:
 
 
 def select_names(df: DataFrame, names: list[str], column: str) -> DataFrame:
-    """Rows of a chosen list of names."""
-    if len(names) <= MAX_LITERAL_LIST:
-        return df.where(F.col(column).isin(names))
+    """Rows of a chosen list of names, by a semi join however long the list is."""
     chosen = df.sparkSession.createDataFrame([(n,) for n in names], f"`{column}` string")
     return df.join(chosen, column, "left_semi")
 

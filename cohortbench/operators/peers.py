@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortbench.functions.rates import mean_of, scaled_round
-from cohortbench.functions.tiers import Tier, group_bound, peer_standing
-
-# Most peer groups whose averages are sent to every executor by hint.
-MAX_HINTED_GROUPS = 10_000
+from cohortbench.functions.tiers import Tier, peer_standing
 
 
 def with_tiers(df: DataFrame, tiers: list[Tier]) -> DataFrame:
@@ -45,17 +42,16 @@ def peer_averages(
 
 
 def attach_averages(
-    rows: DataFrame, averages: DataFrame, keys: list[str], tiers: list[Tier] | None = None
+    rows: DataFrame, averages: DataFrame, keys: list[str], tiers: list[Tier]
 ) -> DataFrame:
     """Left join on equal keys; a null key finds no group.
 
-    With the tiers given, the number of groups is bounded by their label sets,
-    and within that bound the averages are broadcast. Otherwise Catalyst decides
-    by size.
+    The keys are the tiers, so the label sets bound the number of groups, with one
+    more for each null, and the averages are always broadcast.
     """
-    if tiers and group_bound(tiers) <= MAX_HINTED_GROUPS:
-        averages = F.broadcast(averages)
-    return rows.join(averages, keys, "left")
+    if sorted(keys) != sorted(t.name for t in tiers):
+        raise ValueError("peer groups are keyed by exactly the given tiers")
+    return rows.join(F.broadcast(averages), keys, "left")
 
 
 def peer_deltas(

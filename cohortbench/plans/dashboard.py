@@ -14,6 +14,7 @@ from cohortbench.operators import datasets
 from cohortbench.operators.entities import select_names
 from cohortbench.sources.warehouse import latest_value, year_window
 
+KEY = "unitid"
 NAME = "institution_name"
 
 # The window shown. It ends with the newest year in which every
@@ -86,11 +87,15 @@ def overview(rows: DataFrame, at: int | Column) -> dict[str, DataFrame]:
 def metric_tab(
     rows: DataFrame, metric: str, years: list[int], digits: int
 ) -> dict[str, DataFrame]:
-    """Trend lines, bars by year and the pivot table of one metric."""
+    """Trend lines, bars by year and the pivot table of one metric.
+
+    Only years in which any shown entity has a value; all of them if none has.
+    """
+    years = [y for y in datasets.years_with_data(rows, metric) if y in years] or years
     return {
         "trend": datasets.trend(rows, NAME, [metric]),
-        "bars": datasets.year_grid(rows, NAME, metric, years),
-        "table": datasets.pivot_with_change(rows, NAME, metric, years, digits),
+        "bars": datasets.year_grid(rows, KEY, NAME, metric, years),
+        "table": datasets.pivot_with_change(rows, KEY, NAME, metric, years, digits),
     }
 
 

@@ -219,20 +219,20 @@ EQUITY_SEVERITIES = ",\n    ".join(
     for g in ("gap_r", "gap_n")
 )
 
-AUDIT = """expected AS (
-  SELECT family, y AS year FROM (VALUES ('orders'), ('lineitem')) f(family),
-    range(1995, 2003) r(y)),
-loaded AS (
+AUDIT = """loaded AS (
   SELECT 'orders' AS family, year(o_orderdate) AS year, count(*) AS raw_rows,
          count(*) AS row_count FROM orders GROUP BY ALL
   UNION ALL
   SELECT 'lineitem', year(l_shipdate), count(*), count(*) FILTER (WHERE year(l_shipdate) >= 1996)
   FROM lineitem GROUP BY ALL),
+expected AS (
+  SELECT due AS family, unnest(range(min(year), max(year) + 2)) AS year
+  FROM loaded, (VALUES ('orders'), ('lineitem')) f(due) GROUP BY due),
 audit AS (
-  SELECT e.family, e.year, l.row_count,
+  SELECT family, year, l.row_count,
     CASE WHEN l.raw_rows IS NULL THEN 'not_published' WHEN l.row_count = 0 THEN 'empty'
          ELSE 'ok' END AS status
-  FROM expected e LEFT JOIN loaded l ON e.family = l.family AND e.year = l.year)"""
+  FROM expected FULL JOIN loaded l USING (family, year))"""
 
 
 def unique_check(name: str, relation: str, keys: str) -> str:
@@ -309,9 +309,7 @@ SELECT o_orderkey,
   CASE WHEN o_orderstatus = 'P' THEN 'Orders_RV.csv' ELSE 'orders.csv' END AS source
 FROM orders""",
     "mixed_encoding_read": """
-SELECT doc_id, lang, source,
-  CASE lang WHEN 'fr' THEN 'français' WHEN 'es' THEN 'español' WHEN 'de' THEN 'fließend'
-            WHEN 'en' THEN 'naïve' ELSE lang END AS label
+SELECT doc_id, lang, source, CASE WHEN trim(text) NOT IN ('', '.', 'NULL') THEN text END AS text
 FROM documents""",
     "window_read": with_ctes(
         *FACTS,
@@ -424,9 +422,11 @@ GROUP BY year""",
     "outcome_spine": with_ctes(
         ORDER_ROWS,
         LINE_ROWS,
-        select="""SELECT entity_id, year FROM line_rows WHERE code IN (1, 2, 3)
-UNION SELECT entity_id, year FROM line_rows
-UNION SELECT entity_id, year FROM order_rows""",
+        select="""SELECT entity_id, year FROM order_rows WHERE o_orderstatus = 'F'
+UNION SELECT entity_id, year(l_shipdate) FROM lineitem JOIN order_rows ON l_orderkey = o_orderkey
+  WHERE l_linenumber = 1
+UNION SELECT entity_id, year(l_shipdate) + 1 FROM lineitem JOIN order_rows ON l_orderkey = o_orderkey
+  WHERE l_returnflag = 'R'""",
     ),
     "fact_outcomes": with_ctes(*FACTS, select=f"SELECT {FACT_OUT} FROM fact"),
     "peer_averages": with_ctes(*FACTS, *DIMS, PEER_AVERAGES, select="SELECT * FROM averages"),
@@ -508,15 +508,15 @@ WHERE grad_rate IS NOT NULL AND entity_name IS NOT NULL ORDER BY grad_rate""",
     ),
     "year_grid": with_ctes(
         *FACTS,
-        select="""SELECT n.entity_name, y.year, CAST(f.grad_rate AS DOUBLE) AS grad_rate
-FROM (SELECT DISTINCT entity_name FROM fact WHERE year BETWEEN 1995 AND 2001) n
-CROSS JOIN (SELECT r AS year FROM range(1995, 2002) t(r)) y
-LEFT JOIN fact f ON f.entity_name = n.entity_name AND f.year = y.year""",
+        select="""SELECT n.entity_id, n.entity_name, y.year, CAST(f.grad_rate AS DOUBLE) AS grad_rate
+FROM (SELECT DISTINCT entity_id, entity_name FROM fact) n
+CROSS JOIN (SELECT unnest(range(min(year), max(year) + 1)) AS year FROM fact) y
+LEFT JOIN fact f ON f.entity_id = n.entity_id AND f.year = y.year""",
     ),
     "pivot_change": with_ctes(
         *FACTS,
-        f"""wide AS (SELECT entity_name, {year_columns()} FROM fact
-  WHERE year BETWEEN 1995 AND 2001 GROUP BY entity_name HAVING count(grad_rate) > 0)""",
+        f"""wide AS (SELECT entity_id, entity_name, {year_columns()} FROM fact
+  GROUP BY entity_id, entity_name HAVING count(grad_rate) > 0)""",
         select='SELECT *, round("2001" - "1995", 1) AS "Change (1995-01)" FROM wide',
     ),
     "group_rate_long": with_ctes(

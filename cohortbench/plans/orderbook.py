@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cohortbench.functions import rates as r
 from cohortbench.functions.tiers import Tier, flag_tier, size_tier, two_way_tier
@@ -35,8 +34,6 @@ from cohortbench.operators.peers import (
 from cohortbench.sources.warehouse import in_latest_year, in_years
 
 KEYS = ["entity_id", "year"]
-WINDOW = (1995, 2001)
-YEARS = list(range(WINDOW[0], WINDOW[1] + 1))
 
 GROUPS = {"a": "A", "r": "R", "n": "N"}
 URGENT = ("1-URGENT", "2-HIGH")
@@ -45,16 +42,8 @@ WEST = ("AMERICA", "EUROPE")
 PEER_KEYS = ["size_tier", "is_flagged", "share_tier", "place_tier"]
 
 
-_schemas: dict[tuple[str, str], StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; its footer is read once per application, not once per mention."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def orders(
@@ -82,8 +71,12 @@ def orders(
     )
 
 
-def latest_order_year(spark: SparkSession, sf_dir: str) -> Column:
-    return table(spark, sf_dir, "orders").select(F.year(F.max("o_orderdate"))).scalar()
+def order_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Every year from the first order's to the last one's; one row to the driver."""
+    ends = table(spark, sf_dir, "orders").select(
+        F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))
+    ).first()
+    return [] if ends[0] is None else list(range(ends[0], ends[1] + 1))
 
 
 def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,17 +91,26 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def per_entity_year(
-    spark: SparkSession, sf_dir: str, sums: dict, agg=F.sum, window=None
+    spark: SparkSession, sf_dir: str, sums: dict, agg=F.sum, window=None, latest: bool = False
 ) -> DataFrame:
-    """Line aggregates per order, then per entity-year; `agg` must compose with itself."""
+    """Line aggregates per order, then per entity-year; `agg` must compose with itself.
+
+    With a window, or for the newest year, lines of other orders go before they are
+    summed: the semi join hashes on the order key, as the sums do.
+    """
     lines = line_rows(spark, sf_dir)
+    keyed = orders(spark, sf_dir, window, latest).select("o_orderkey", *KEYS)
+    if window or latest:
+        kept = keyed.select(F.col("o_orderkey").alias("_order"))
+        lines = lines.join(kept, F.col("l_orderkey") == F.col("_order"), "left_semi")
     per_order = lines.groupBy("l_orderkey").agg(*[c.alias(n) for n, c in sums.items()])
-    keyed = orders(spark, sf_dir, window).select("o_orderkey", *KEYS)
     joined = per_order.join(keyed, per_order["l_orderkey"] == keyed["o_orderkey"])
     return joined.groupBy(*KEYS).agg(*[agg(n).alias(n) for n in sums])
 
 
-def line_counts(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
+def line_counts(
+    spark: SparkSession, sf_dir: str, window=None, latest: bool = False
+) -> DataFrame:
     """All coded counts in one pass over the lines."""
     n, code = F.col("n"), F.col("code")
     group, status = F.col("member_group"), F.col("status")
@@ -133,7 +135,7 @@ def line_counts(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
     for name, member in subgroups.items():
         sums[f"cohort_{name}"] = sum_where(member, n)
         sums[f"completed_{name}"] = sum_where(member & done, n)
-    return per_entity_year(spark, sf_dir, sums, window=window)
+    return per_entity_year(spark, sf_dir, sums, window=window, latest=latest)
 
 
 def completion_columns() -> list[Column]:
@@ -217,8 +219,8 @@ def retention_rates() -> list[Column]:
     ]
 
 
-def retention(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
-    counts = orders(spark, sf_dir, window).groupBy(*KEYS).agg(*retention_counts())
+def retention(spark: SparkSession, sf_dir: str, window=None, latest: bool = False) -> DataFrame:
+    counts = orders(spark, sf_dir, window, latest).groupBy(*KEYS).agg(*retention_counts())
     return counts.select("*", *retention_rates())
 
 
@@ -316,9 +318,9 @@ FACT_GAPS = ["gap_r", "gap_n"]
 RETENTION_RATES = ["ft_rate", "pt_rate", "overall_rate"]
 
 
-def outcomes(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
+def outcomes(spark: SparkSession, sf_dir: str, window=None, latest: bool = False) -> DataFrame:
     """Both metric models on one (entity, year) key, before names are added."""
-    counts = line_counts(spark, sf_dir, window)
+    counts = line_counts(spark, sf_dir, window, latest)
     rated = counts.select(*KEYS, "cohort", *completion_columns(), *rate_columns())
     line_model = rated.select(
         *KEYS,
@@ -327,7 +329,7 @@ def outcomes(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
         *gap_columns(),
         F.col("cohort").alias("cohort_size"),
     )
-    order_model = retention(spark, sf_dir, window).select(
+    order_model = retention(spark, sf_dir, window, latest).select(
         *KEYS,
         *[r.published_rate(F.col(c)).alias(c) for c in RETENTION_RATES],
         F.col("entering").alias("entering_size"),
@@ -335,9 +337,9 @@ def outcomes(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
     return merge_on_key([line_model, order_model], KEYS)
 
 
-def fact(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, window=None, latest: bool = False) -> DataFrame:
     """One row per entity-year that has lines or orders."""
-    named = outcomes(spark, sf_dir, window).join(entity_names(spark, sf_dir), "entity_id")
+    named = outcomes(spark, sf_dir, window, latest).join(entity_names(spark, sf_dir), "entity_id")
     return named.select(
         "entity_id",
         "entity_name",

@@ -16,6 +16,7 @@ from cohortbench.functions import codes, display, rates
 from cohortbench.operators import datasets, entities, quality
 from cohortbench.operators.combine import key_spine
 from cohortbench.plans import orderbook as ob
+from cohortbench.plans import surveyed
 from cohortbench.plans import vocabulary as v
 from cohortbench.session import scratch_path
 from cohortbench.sinks import exports
@@ -77,22 +78,23 @@ def raw_csv_clean_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def yearly_stamp_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file set per year, the early ones without a priority column, united by name."""
     rows = ob.orders(spark, sf_dir).select(
-        "o_orderkey", "entity_id", "year", "o_orderpriority", "o_orderstatus"
+        "o_orderkey", "entity_id", "year", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
+    turn = F.lit("1998-01-01 00:00:00").cast(rows.schema["o_orderdate"].dataType)
     root = scratch_path(spark, "orders-yearly")
     early, late = f"{root}/early", f"{root}/late"
     for path, part in (
-        (early, rows.where(F.col("year") < 1998).drop("o_orderpriority")),
-        (late, rows.where(F.col("year") >= 1998)),
+        (early, rows.where(F.col("o_orderdate") < turn).drop("o_orderpriority", "o_orderdate")),
+        (late, rows.where(F.col("o_orderdate") >= turn).drop("o_orderdate")),
     ):
-        part.write.partitionBy("year").option("header", True).csv(path)
+        part.hint("rebalance", "year").write.partitionBy("year").option("header", True).csv(path)
     declared = {
         "O_ORDERKEY": "bigint",
         "ENTITY_ID": "bigint",
         "O_ORDERPRIORITY": "string",
         "O_ORDERSTATUS": "string",
     }
-    years = [row.year for row in entities.distinct_sorted(rows, "year").collect()]
+    years = exports.published_years(rows)
     families = [
         delimited.read_family(
             spark,
@@ -124,22 +126,19 @@ def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_encoding_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document records from latin-1 and UTF-8 files side by side."""
-    spoken = {"fr": "français", "es": "español", "de": "fließend", "en": "naïve"}
-    label = F.coalesce(
-        *[F.when(F.col("lang") == k, text) for k, text in spoken.items()], F.col("lang")
-    )
-    rows = ob.table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source", label.alias("label")
-    )
+    """Whole documents, line breaks and quotes included, from latin-1 and UTF-8 files side by side.
+
+    Texts that latin-1 can hold go to the first set of files, all others to the second.
+    """
+    rows = ob.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     root = scratch_path(spark, "documents-csv")
     latin, utf8 = f"{root}/latin1", f"{root}/utf8"
-    romance = F.col("lang").isin("fr", "es")
-    exports.write_csv(rows.where(romance), latin, bom=False, encoding=delimited.LATIN1)
-    exports.write_csv(rows.where(~romance), utf8, bom=False)
-    text = delimited.read_mixed_encodings(spark, [latin, utf8])
-    declared = {"DOC_ID": "bigint", "LANG": "string", "SOURCE": "string", "LABEL": "string"}
-    return delimited.typed_columns(text, declared).toDF("doc_id", "lang", "source", "label")
+    narrow = F.coalesce(F.rlike("text", F.lit(r"\A[\x00-\xFF]*\z")), F.lit(True))
+    exports.write_csv(rows.where(narrow), latin, bom=False, encoding=delimited.LATIN1)
+    exports.write_csv(rows.where(~narrow), utf8, bom=False)
+    text = delimited.read_mixed_encodings(spark, [latin, utf8], multiline=True)
+    declared = {"DOC_ID": "bigint", "LANG": "string", "SOURCE": "string", "TEXT": "string"}
+    return delimited.typed_columns(text, declared).toDF("doc_id", "lang", "source", "text")
 
 
 def window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,16 +316,24 @@ def dim_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of three families: lines with credential codes, all lines, orders."""
+    """Keys of three families, none within another: finished orders by their year, first
+    lines by the year they ship, returned lines by the year after it."""
     lines = ob.table(spark, sf_dir, "lineitem")
-    flags = lines.groupBy("l_orderkey").agg(
-        F.max(F.col("l_linenumber").isin(1, 2, 3)).alias("has_credential")
+    shipped = lines.groupBy("l_orderkey", F.year("l_shipdate").alias("shipped")).agg(
+        F.bool_or(F.col("l_linenumber") == 1).alias("is_first"),
+        F.bool_or(F.col("l_returnflag") == "R").alias("is_returned"),
     )
-    orders = ob.orders(spark, sf_dir).select("o_orderkey", *KEYS)
-    # The line families share one scan: an order's keys count for both.
-    with_lines = flags.join(orders, flags["l_orderkey"] == orders["o_orderkey"])
-    completions = with_lines.where("has_credential")
-    return published(key_spine([completions, with_lines, orders], KEYS))
+    orders = ob.orders(spark, sf_dir).select("o_orderkey", *KEYS, "o_orderstatus")
+    # The line families share one scan: a shipment gives a year to either.
+    years = F.array(
+        F.when(F.col("is_first"), F.col("shipped")),
+        F.when(F.col("is_returned"), F.col("shipped") + 1),
+    )
+    by_line = shipped.join(orders, shipped["l_orderkey"] == orders["o_orderkey"]).select(
+        "entity_id", F.explode(years).alias("year")
+    )
+    finished = orders.where("o_orderstatus = 'F'")
+    return published(key_spine([by_line.where("year is not null"), finished], KEYS))
 
 
 def fact_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,9 +360,8 @@ def equity_report_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact rows of the newest year present."""
-    at = ob.latest_order_year(spark, sf_dir)
-    return datasets.year_slice(ob.fact(spark, sf_dir), at)
+    """Fact rows of the newest year present; the scans read that year alone."""
+    return ob.fact(spark, sf_dir, latest=True)
 
 
 def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,13 +420,17 @@ def metric_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def year_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = ob.fact(spark, sf_dir, window=ob.WINDOW)
-    return published(datasets.year_grid(fact, "entity_name", "grad_rate", ob.YEARS))
+    years = ob.order_years(spark, sf_dir)
+    fact = ob.fact(spark, sf_dir)
+    return published(datasets.year_grid(fact, "entity_id", "entity_name", "grad_rate", years))
 
 
 def pivot_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = ob.fact(spark, sf_dir, window=ob.WINDOW)
-    return published(datasets.pivot_with_change(fact, "entity_name", "grad_rate", ob.YEARS, 1))
+    years = ob.order_years(spark, sf_dir)
+    fact = ob.fact(spark, sf_dir)
+    return published(
+        datasets.pivot_with_change(fact, "entity_id", "entity_name", "grad_rate", years, 1)
+    )
 
 
 def group_rate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -574,11 +584,12 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.lit("lineitem").alias("family"), "*")
     )
     loaded = ordered.unionByName(shipped)
-    expected = spark.createDataFrame(
-        [(f, y) for f in ("orders", "lineitem") for y in range(1995, 2003)],
-        "family string, year int",
+    # Every family is due from the first year that any has to the year after the last.
+    due = loaded.agg(F.sequence(F.min("year"), F.max("year") + 1).alias("years")).select(
+        F.explode(F.array(F.lit("orders"), F.lit("lineitem"))).alias("family"), "years"
     )
-    audit = expected.join(loaded, ["family", "year"], "left")
+    expected = due.select("family", F.explode("years").alias("year"))
+    audit = expected.join(loaded, ["family", "year"], "full")
     return audit.select(
         "family",
         "year",
@@ -683,3 +694,10 @@ QUERIES: dict[str, Query] = {
         thin_years, load_summary, guards, export_roundtrip, export_json,
     )
 }
+
+
+def _published(query: Query) -> Query:
+    return lambda spark, sf_dir: published(query(spark, sf_dir))
+
+
+QUERIES |= {name: _published(query) for name, query in surveyed.QUERIES.items()}

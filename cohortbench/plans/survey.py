@@ -15,7 +15,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortbench.functions import codes
@@ -37,7 +37,8 @@ from cohortbench.plans import vocabulary as v
 from cohortbench.sinks import exports
 from cohortbench.sources.delimited import (
     Catalogue,
-    read_mixed_encodings,
+    encodings,
+    read_text_columns,
     typed_columns,
     unite,
 )
@@ -79,16 +80,17 @@ def landed_schema(family: str) -> str:
     return f"{columns}, YEAR int"
 
 
-def _read_year(
-    spark: SparkSession, path: str, multiline: bool
-) -> tuple[DataFrame | None, str | None]:
-    """Text columns of one file, or the state of a load that cannot go on."""
-    try:
-        return read_mixed_encodings(spark, [path], multiline), None
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None, quality.NOT_PUBLISHED
-        raise
+def published_files(spark: SparkSession, files: list[tuple[int, str]]) -> dict[int, str]:
+    """Years whose file is there."""
+    there = {}
+    for year, path in files:
+        try:
+            spark.read.text(path)
+            there[year] = path
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return there
 
 
 def _landing_cut(scope: Scope) -> Column:
@@ -105,6 +107,9 @@ def land(
 ) -> DataFrame:
     """Files to Parquet under out/<family>, partitioned by year; returns the load audit.
 
+    A landing replaces the years it finds files for and keeps the other years that lie
+    there; the audit of a year without a file counts the rows kept of it.
+
     The directory comes first: its ids, over all years, restrict every other
     family. Without a scope everything is kept. The audit has a row per family
     and year with status, reason and row_count. Files whose quoted values hold
@@ -114,17 +119,20 @@ def land(
     ids = None
     families = sorted(catalogue.years, key=lambda f: f != "hd")
     for family in families:
-        frames, years = [], []
-        for year, path in catalogue.files(family):
-            raw, state = _read_year(spark, path, multiline)
-            if raw is None:
-                audit.append((family, year, state, f"no file {path}", 0))
+        frames, years, unread = [], [], []
+        files = catalogue.files(family)
+        there = published_files(spark, files)
+        known = encodings(spark, list(there.values()))
+        for year, path in files:
+            if year not in there:
+                unread.append((year, quality.NOT_PUBLISHED, f"no file {path}"))
                 continue
+            raw = read_text_columns(spark, path, known[path], multiline)
             if family == "hd" and scope:
                 try:
                     require_columns(raw, ["UNITID", "STABBR", "SECTOR"], path)
                 except MissingColumns as error:
-                    audit.append((family, year, quality.ERROR, str(error), 0))
+                    unread.append((year, quality.ERROR, str(error)))
                     continue
             typed = typed_columns(raw, file_schema(family), strict=strict)
             if scope and family == "hd":
@@ -135,15 +143,16 @@ def land(
                 ent.log.warning("%s %s has no ids to be restricted by", family, year)
             frames.append(typed.withColumn("YEAR", F.lit(year)))
             years.append(year)
-        if not frames:
-            continue
-        target = f"{out}/{family}"
-        exports.write_yearly(unite(frames), target, "YEAR")
-        kept = landed(spark, out, family)
-        counts = {row.YEAR: row["count"] for row in kept.groupBy("YEAR").count().collect()}
+        if frames:
+            replace_years(unite(frames), f"{out}/{family}", years)
+        counts = landed_counts(spark, out, family)
+        audit += [(family, year, state, why, counts.get(year, 0)) for year, state, why in unread]
         for year in years:
             n = counts.get(year, 0)
             audit.append((family, year, quality.OK if n else quality.EMPTY, None, n))
+        if not frames and not counts:
+            continue
+        kept = landed(spark, out, family)
         if family == "hd" and scope:
             ent.distinct_ids(kept, "UNITID").write.mode("overwrite").parquet(f"{out}/_ids")
             ids = exports.require_rows(
@@ -155,6 +164,36 @@ def land(
     )
 
 
+def replace_years(rows: DataFrame, target: str, years: list[int]) -> None:
+    """Write the rows over what lies there of the given years, and leave the other years.
+
+    The rows of each year are counted by the write itself. A year that now has none
+    would keep its old folder, so its folder is written anew without rows.
+    """
+    seen = Observation()
+    counted = rows.observe(seen, *[F.count_if(F.col("YEAR") == y).alias(str(y)) for y in years])
+    (
+        counted.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("YEAR")
+        .parquet(target)
+    )
+    for year in years:
+        if not seen.get[str(year)]:
+            rows.drop("YEAR").limit(0).write.mode("overwrite").parquet(f"{target}/YEAR={year}")
+
+
+def landed_counts(spark: SparkSession, out: str, family: str) -> dict[int, int]:
+    """Rows on disk by year; none if nothing has been landed."""
+    try:
+        rows = landed(spark, out, family)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    return {row.YEAR: row["count"] for row in rows.groupBy("YEAR").count().collect()}
+
+
 def landed(spark: SparkSession, out: str, family: str) -> DataFrame:
     return spark.read.schema(landed_schema(family)).parquet(f"{out}/{family}")
 
@@ -605,9 +644,24 @@ def mart_checks(marts: Mapping[str, DataFrame], names: MartNames = MartNames())
 
 def directory_checks(landed_directory: DataFrame, years: Iterable[int]) -> DataFrame:
     """Ids present and unique in each yearly directory."""
-    checks = []
-    for year in years:
-        rows = landed_directory.where(F.col("YEAR") == year)
-        checks.append(quality.unique_summary(f"hd_{year}_unique", rows, [clean_name(KEY)]))
-        checks.append(quality.not_null_summary(f"hd_{year}_not_null", rows, clean_name(KEY)))
-    return quality.all_checks(checks)
+    key = clean_name(KEY)
+    copies = landed_directory.groupBy("YEAR", key).agg(F.count(F.lit(1)).alias("copies"))
+    has_id = F.col(key).isNotNull()
+    found = copies.groupBy("YEAR").agg(
+        F.count_if(has_id).alias("ids"),
+        F.count_if(has_id & (F.col("copies") > 1)).alias("twice"),
+        F.sum("copies").alias("rows"),
+        F.coalesce(F.sum(F.when(~has_id, F.col("copies"))), F.lit(0)).alias("nulls"),
+    )
+    asked = landed_directory.sparkSession.createDataFrame([(y,) for y in years], "YEAR int")
+    name = F.concat(F.lit("hd_"), F.col("YEAR").cast("string"))
+
+    def check(suffix: str, checked: str, violations: str) -> Column:
+        return F.struct(
+            F.concat(name, F.lit(suffix)).alias("check_name"),
+            F.coalesce(F.col(checked), F.lit(0)).alias("checked"),
+            F.coalesce(F.col(violations), F.lit(0)).alias("violations"),
+        )
+
+    both = F.array(check("_unique", "ids", "twice"), check("_not_null", "rows", "nulls"))
+    return asked.join(found, "YEAR", "left").select(F.explode(both).alias("c")).select("c.*")

@@ -141,8 +141,20 @@ def chart_records(
 
 
 def json_records(df: DataFrame, column: str = "record") -> DataFrame:
-    """One JSON object per row, missing values written as null."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(column))
+    """One JSON object per row; missing values and those JSON has no number for are null."""
+    cells = []
+    for field in df.schema:
+        c = F.col(f"`{field.name}`")
+        if field.dataType.typeName() in ("double", "float"):
+            c = F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+        cells.append(c.alias(field.name))
+    return df.select(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias(column))
+
+
+def published_years(df: DataFrame, year: str = "year") -> list[int]:
+    """The years of the records, ascending, for the file that goes beside them."""
+    found = df.where(F.col(year).isNotNull()).select(F.col(year).cast("int")).distinct()
+    return sorted(row[0] for row in found.collect())
 
 
 def write_json(df: DataFrame, path: str) -> int:

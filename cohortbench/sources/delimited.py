@@ -65,11 +65,17 @@ def null_if_marker(c: Column, markers: Iterable[str] = NULL_MARKERS) -> Column:
 def typed_value(c: Column, type_name: str, strict: bool = True) -> Column:
     """Text to the declared type, reading whole numbers written as 327.0.
 
-    Strict casts stop the job on text that is no number; otherwise it turns null.
+    Strict casts stop the job on text that is no number, or for a whole type no whole
+    one (327.5 is not 328); otherwise it turns null.
     """
     cast = Column.cast if strict else Column.try_cast
     if type_name in ("int", "bigint"):
-        return cast(cast(F.trim(c), "decimal(20,0)"), type_name)
+        number = cast(F.trim(c), "decimal(38,10)")
+        whole = F.when(number % 1 == 0, cast(number, type_name))
+        if not strict:
+            return whole
+        broken = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast(type_name)
+        return whole.when(number.isNotNull(), broken)
     if type_name == "string":
         return c
     return cast(F.trim(c), type_name)
@@ -124,26 +130,27 @@ def unite(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def utf8_by_file(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    """Whether each non-empty file is valid UTF-8 throughout.
+def encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Encoding of each path, a file or a folder of files: latin-1 unless all is valid UTF-8.
 
-    Lines are checked where they lie, so a large file is split over tasks. Only
-    file names reach the driver, as many as the catalogue has files.
+    One job over all paths. Lines are checked where they lie, so a large file is split
+    over tasks, and each path is one row on the driver, however many part files it has.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    checked = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    return {row.file: row.utf8 for row in checked.collect()}
+    if not paths:
+        return {}
+    checked = []
+    for i, path in enumerate(paths):
+        lines = spark.read.text(path)
+        checked.append(lines.select(F.lit(i).alias("i"), F.is_valid_utf8("value").alias("utf8")))
+    found = unite(checked).groupBy("i").agg(F.bool_and("utf8").alias("utf8")).collect()
+    broken = {row.i for row in found if not row.utf8}
+    return {path: LATIN1 if i in broken else UTF8 for i, path in enumerate(paths)}
 
 
 def read_mixed_encodings(
     spark: SparkSession, paths: list[str], multiline: bool = False
 ) -> DataFrame:
-    """UTF-8 where a file is valid UTF-8, latin-1 where it is not, decided per file."""
-    utf8 = utf8_by_file(spark, paths)
-    if not utf8:
-        return read_text_columns(spark, paths, multiline=multiline)
-    groups = [
-        (UTF8, sorted(f for f, ok in utf8.items() if ok)),
-        (LATIN1, sorted(f for f, ok in utf8.items() if not ok)),
-    ]
-    return unite([read_text_columns(spark, fs, enc, multiline) for enc, fs in groups if fs])
+    """UTF-8 where a path is valid UTF-8, latin-1 where it is not, decided per path."""
+    known = encodings(spark, paths)
+    groups = [(enc, sorted(p for p in paths if known[p] == enc)) for enc in (UTF8, LATIN1)]
+    return unite([read_text_columns(spark, ps, enc, multiline) for enc, ps in groups if ps])

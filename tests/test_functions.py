@@ -125,6 +125,13 @@ def test_mean_of_decimals_skips_nulls_and_is_null_when_empty(spark):
     assert df.where("a is null").agg(rates.mean_of(A, 2)).first()[0] is None
 
 
+def test_mean_of_doubles_reads_them_as_printed(spark):
+    df = spark.createDataFrame([(0.29,), (0.57,), (None,)], "a double")
+    assert df.agg(rates.mean_of(A, 2)).first()[0] == 0.43
+    whole = spark.createDataFrame([(7,), (8,)], "a bigint")
+    assert whole.agg(rates.mean_of(A, 0)).first()[0] == 7.5
+
+
 def test_decode_defaults_for_unknown_and_null(spark):
     rows = [(3,), (99,), (None,)]
     got = column(spark, "a int", rows, codes.decode(A, v.AWARD_LEVELS, v.UNKNOWN))

@@ -207,6 +207,8 @@ def test_peer_averages_weigh_entity_years(spark):
         (4, None, None, "At Peer Average"),  # a null key finds no group
     ]
     assert compared.where("k = 4").first().peer_group_count is None
+    with pytest.raises(ValueError, match="exactly the given tiers"):
+        peers.attach_averages(joined, means, ["k"], [tier])
 
 
 # --- equity ----------------------------------------------------------------
@@ -310,7 +312,8 @@ def test_trend_order_and_focus_last(spark):
 
 
 def test_year_grid_has_every_cell(spark):
-    grid = datasets.year_grid(outcome_rows(spark), "name", "rate", [2020, 2021, 2022])
+    keyed = outcome_rows(spark).withColumn("k", F.ascii("name"))
+    grid = datasets.year_grid(keyed, "k", "name", "rate", [2020, 2021, 2022])
     assert rows(grid, "name", "year", "rate") == [
         ("a", 2020, 10.0), ("a", 2021, None), ("a", 2022, 12.5),
         ("b", 2020, None), ("b", 2021, None), ("b", 2022, 30.0),
@@ -319,19 +322,30 @@ def test_year_grid_has_every_cell(spark):
 
 
 def test_pivot_with_change(spark):
-    df = outcome_rows(spark)
+    df = outcome_rows(spark).withColumn("k", F.ascii("name"))
     years = [2020, 2021, 2022]
-    got = datasets.pivot_with_change(df, "name", "rate", years, 1)
-    assert got.columns == ["name", "2020", "2021", "2022", "Change (2020-22)"]
-    assert sorted(tuple(r) for r in got.collect()) == [
+    got = datasets.pivot_with_change(df, "k", "name", "rate", years, 1)
+    assert got.columns == ["k", "name", "2020", "2021", "2022", "Change (2020-22)"]
+    assert sorted(tuple(r)[1:] for r in got.collect()) == [
         ("a", 10.0, None, 12.5, 2.5),
         ("b", None, None, 30.0, None),
     ]
-    everyone = datasets.pivot_with_change(df, "name", "rate", years, 0, drop_empty=False)
+    everyone = datasets.pivot_with_change(df, "k", "name", "rate", years, 0, drop_empty=False)
     assert everyone.count() == 3
     assert datasets.years_with_data(df, "rate") == [2020, 2022]
 
 
+def test_entities_of_one_name_stay_apart(spark):
+    df = spark.createDataFrame(
+        [(1, "same", 2020, 1.0), (2, "same", 2020, 5.0), (1, "same", 2021, 2.0), (1, "same", 2021, 3.0)],
+        "k int, name string, year int, rate double",
+    )
+    grid = datasets.year_grid(df, "k", "name", "rate", [2020, 2021])
+    assert rows(grid, "k", "year", "rate") == [(1, 2020, 1.0), (1, 2021, 3.0), (2, 2020, 5.0), (2, 2021, None)]
+    pivot = datasets.pivot_with_change(df, "k", "name", "rate", [2020, 2021], 1)
+    assert sorted(tuple(r) for r in pivot.collect()) == [(1, "same", 1.0, 3.0, 2.0), (2, "same", 5.0, None, None)]
+
+
 def test_long_form_scatter_and_rename(spark):
     df = outcome_rows(spark).where("year = 2022")
     long = datasets.long_by_group(df, "name", {"rate": "Rate", "gap": "Gap"}, "kind", "value")

@@ -153,6 +153,13 @@ def test_json_records_keep_nulls_and_refuse_nothing(spark, tmp_path):
     assert json.loads("".join(p.read_text() for p in Path(path).glob("part-*")))["n"] is None
 
 
+def test_json_has_no_text_for_numbers(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (float("inf"), 2), (1.5, 3)], "m double, year int")
+    got = [json.loads(r.record) for r in exports.json_records(df).collect()]
+    assert got == [{"m": None, "year": 1}, {"m": None, "year": 2}, {"m": 1.5, "year": 3}]
+    assert exports.published_years(df.unionByName(df)) == [1, 2, 3]
+
+
 class FakeSession:
     """Only the settings scratch_path reads."""
 

@@ -7,8 +7,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
-from cohortbench.plans import orderbook
-from cohortbench.plans.queries import QUERIES
+from cohortbench.plans import orderbook, surveyed
+from cohortbench.plans.queries import QUERIES, load_audit, published
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,13 +20,24 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in surveyed.QUERIES])
 def test_query_matches_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, contract.oracle_sql()[name]) is None
 
 
+@pytest.fixture(scope="module")
+def survey(spark, con):
+    return surveyed.build(spark, SF)
+
+
+@pytest.mark.parametrize("name", list(surveyed.QUERIES))
+def test_survey_query_matches_sql(spark, con, survey, name):
+    rows = published(surveyed.QUERIES[name](spark, SF, survey))
+    assert difference(rows, con, contract.oracle_sql()[name]) is None
+
+
 def test_entry_and_registry(spark, con):
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries()) and set(QUERIES) <= set(contract.oracle_sql())
     assert contract.entry(spark).count() > 0
 
 
@@ -68,6 +79,24 @@ def test_newest_year_is_pushed_to_the_scan(spark, con):
     assert "GreaterThanOrEqual(o_orderdate,ScalarSubquery" in plan
 
 
+def test_one_year_of_the_fact_reads_one_year(spark, con):
+    plan = executed(orderbook.fact(spark, SF, latest=True))
+    scans = re.findall(r"FileScan parquet [^\n]*o_orderdate[^\n]*", plan)
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in s or "IsNotNull(o_orderdate)" not in s for s in scans)
+    assert plan.index("LeftSemi") > plan.index("partial_sum(")  # below the sums: lines go first
+
+
+def test_years_of_the_audit_come_from_the_data(spark, tmp_path):
+    day = "timestamp'%d-03-01 00:00:00'"
+    spark.sql(f"SELECT 1L o_orderkey, 1L o_custkey, 'F' o_orderstatus, 1.0D o_totalprice, {day % 1980} o_orderdate, "
+              f"'x' o_orderpriority UNION ALL SELECT 2L, 1L, 'F', 1.0D, {day % 1983}, 'x'").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.sql(f"SELECT 1L l_orderkey, {day % 1982} l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {(r.family, r.year): r.status for r in load_audit(spark, str(tmp_path)).collect()}
+    assert {k for k, s in got.items() if s == "ok"} == {("orders", 1980), ("orders", 1983)}
+    assert got["lineitem", 1982] == "empty" and got["lineitem", 1984] == "not_published" and len(got) == 10
+
+
 def test_windows_are_pushed_to_the_scan(spark, con):
     plan = executed(orderbook.retention(spark, SF, window=(1996, 1999)))
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan
@@ -75,7 +104,7 @@ def test_windows_are_pushed_to_the_scan(spark, con):
 
 def test_no_products_and_no_python(spark, con):
     written = {"raw_csv_clean_read", "yearly_stamp_union", "mixed_encoding_read",
-               "export_roundtrip", "export_json"}
+               "export_roundtrip", "export_json", *surveyed.QUERIES}
     for name, query in QUERIES.items():
         if name in written:
             continue

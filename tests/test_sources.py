@@ -66,6 +66,13 @@ def test_integers_written_as_floats_and_bad_text(spark):
     assert delimited.typed_columns(bad, {"A": "int"}, strict=False).first().A is None
 
 
+def test_a_fraction_is_no_integer(spark):
+    df = spark.createDataFrame([("327.5",)], "A string")
+    with pytest.raises(PySparkException, match="not a whole number"):
+        delimited.typed_columns(df, {"A": "bigint"}).collect()
+    assert delimited.typed_columns(df, {"A": "bigint"}, strict=False).first().A is None
+
+
 def test_years_unite_by_name_after_typing(spark, tmp_path):
     write(tmp_path / "fam_2020.csv", "UNITID,STUFACR \n1,12.0\n")
     write(tmp_path / "fam_2021.csv", "EXTRA,STUFACR,UNITID,CODE\nq,x13,2,7\n")
@@ -96,8 +103,7 @@ def test_union_keeps_duplicates_and_fills_gaps(spark):
 def test_encodings_are_decided_per_file(spark, tmp_path):
     old = write(tmp_path / "old.csv", "ID,NAME\n1,Peña\n2,Ascii\n", "latin-1")
     new = write(tmp_path / "new.csv", "ID,NAME\n3,Peña\n4,漢字\n", "utf-8-sig")
-    flags = delimited.utf8_by_file(spark, [old, new])
-    assert {k.rsplit("/", 1)[1]: v for k, v in flags.items()} == {"old.csv": False, "new.csv": True}
+    assert delimited.encodings(spark, [old, new]) == {old: delimited.LATIN1, new: delimited.UTF8}
     rows = delimited.read_mixed_encodings(spark, [old, new]).collect()
     assert {r.ID: r.NAME for r in rows} == {"1": "Peña", "2": "Ascii", "3": "Peña", "4": "漢字"}
 

@@ -264,6 +264,30 @@ def test_directory_without_its_columns_is_an_error(spark, tmp_path):
     assert len(reasons) == 1 and "STABBR, SECTOR" in reasons.pop()
 
 
+def test_a_landing_keeps_the_years_it_has_no_file_for(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    header = ["UNITID", "STABBR", "SECTOR"]
+    put(source, "hd_2020.csv", header, [[1, "TX", 4], [2, "TX", 4]])
+    put(source, "hd_2021.csv", header, [[1, "TX", 4]])
+    catalogue = Catalogue(str(source), {"hd": [2020, 2021]})
+
+    def land():
+        got = {r.year: (r.status, r.row_count) for r in survey.land(spark, catalogue, out).collect()}
+        disk = {r.YEAR: r["count"] for r in survey.landed(spark, out, "hd").groupBy("YEAR").count().collect()}
+        assert {y: n for y, (_, n) in got.items() if n} == disk
+        return got
+
+    assert land() == {2020: ("ok", 2), 2021: ("ok", 1)}
+    (source / "hd_2020.csv").unlink()
+    put(source, "hd_2021.csv", header, [[3, "TX", 4], [4, "TX", 4], [5, "TX", 4]])
+    assert land() == {2020: ("not_published", 2), 2021: ("ok", 3)}
+    put(source, "hd_2021.csv", header, [[3, "OK", 4]])
+    assert land() == {2020: ("not_published", 2), 2021: ("empty", 0)}
+    (source / "hd_2021.csv").unlink()
+    assert land() == {2020: ("not_published", 2), 2021: ("not_published", 0)}
+
+
 def test_no_entity_at_all_stops_the_landing(spark, tmp_path):
     put(tmp_path, "hd_2020.csv", ["UNITID", "STABBR", "SECTOR"], [[1, "OK", 4]])
     with pytest.raises(EmptyExport):
@@ -283,7 +307,8 @@ def test_dashboard_tabs(built):
     assert earlier["overview"]["table"].columns[:2] == ["College", "Graduation Rate"]
     pivot = row(tabs["retention"]["table"], institution_name="Alfa Collège")
     assert (pivot["2020"], pivot["2021"], pivot["Change (2020-21)"]) == (55.0, 60.0, 5.0)
-    assert tabs["graduation"]["bars"].count() == 4
+    assert tabs["graduation"]["bars"].count() == 2  # no rates in 2021
+    assert tabs["retention"]["bars"].count() == 4
     assert earlier["equity"]["rates"].count() == 3
     assert tuple(earlier["equity"]["gaps"].first())[1:] == (D("40.00"), D("25.00"))
     assert earlier["equity"]["table"].columns[-1] == "Black Gap"
