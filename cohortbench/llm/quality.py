@@ -208,7 +208,9 @@ def ordered(rules: tuple[Rule, ...], figures: list[dict]) -> tuple[Rule, ...]:
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = ALL_RULES) -> DataFrame:
     """All columns of ``docs`` in __row, and failed: the rule that rejects the text, or null.
 
-    An absent text is empty and so has too few words. Every row is judged, repeated ones alike.
+    An absent text is empty and so has too few words. Every row is judged, repeated ones alike. Of
+    several rules that reject a text the first in the measured order is named; whether any does, does
+    not depend on that order.
     """
     order = ordered(rules, estimate(docs, rules))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")

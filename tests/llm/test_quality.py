@@ -67,7 +67,8 @@ def test_whole_tables(spark, odd_docs, no_docs):
     failed = {(r["__row"]["doc_id"], r["__row"]["text"]): r["failed"] for r in rows}
     assert failed[1, "one two three four five six seven eight nine ten eleven"] is None
     assert failed[2, ""] and failed[3, None] and failed[None, None] and failed[5, "x" * 50_000] and failed[7, " \t\n "]
-    assert sum(r["failed"] == "many_symbols" for r in rows) + sum(r["failed"] == "repeated_windows" for r in rows) >= 2
+    # Which of the rules that reject a text is named depends on the measured order.
+    assert all(r["failed"] for r in rows if r["__row"]["doc_id"] in (4, 9))
     measured = quality.measured(odd_docs).where("doc_id = 4").first()
     assert measured["n_words"] == 12001 and measured["base_failed"]
     assert quality.judged(no_docs).count() == 0 and quality.measured(no_docs).count() == 0
