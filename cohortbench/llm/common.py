@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +53,35 @@ def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     keyed = df.withColumn("__hash", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")))
     leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
     keyed = keyed.withColumn("__bucket", (leading % buckets).cast("int"))
-    inside = Window.partitionBy(*group, "__bucket").orderBy("__hash", *order)
+    return _ranked(df, keyed, group, ["__bucket"], ["__hash", *order], out)
+
+
+def placed_rank(df: DataFrame, group: Sequence[str], part: str, place: str, order: Sequence[str], out: str,
+                per_task: int = RANK_ROWS) -> DataFrame:
+    """Adds ``out``: a gapless rank from 0 within each group, in the order of ``part``, ``place``, then ``order``.
+
+    part and place are longs that say where a row lies; a task ranks the rows of one run of
+    ``per_task`` places of a part, and they are shifted by the rows of the earlier runs.
+    """
+    keyed = df.withColumn("__bucket", F.floor(F.col(place) / per_task).cast("long"))
+    return _ranked(df, keyed, group, [part, "__bucket"], [place, *order], out)
+
+
+def _ranked(df: DataFrame, keyed: DataFrame, group: Sequence[str], blocks: Sequence[str], inner: Sequence[str],
+            out: str) -> DataFrame:
+    """Ranks by ``blocks``, then ``inner``: each block of a group by itself, shifted by the rows of the earlier ones."""
+    inside = Window.partitionBy(*group, *blocks).orderBy(*inner)
     placed = keyed.withColumn("__place", F.row_number().over(inside).cast("long"))
-    counts = keyed.groupBy(*group, "__bucket").agg(F.count("*").alias("__rows"))
-    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*group, *blocks).agg(F.count("*").alias("__rows"))
+    before = Window.partitionBy(*group).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(
         *[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)],
-        F.col("__bucket").alias("__b"),
+        *[F.col(c).alias(f"__b{i}") for i, c in enumerate(blocks)],
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
     )
-    same = F.col("__bucket") == F.col("__b")
+    same = F.lit(True)
+    for i, c in enumerate(blocks):
+        same = same & (F.col(c) == F.col(f"__b{i}"))
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
     kept = [c for c in df.columns if c != out]
@@ -69,6 +89,22 @@ def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
         *kept, (F.col("__place") - 1 + F.col("__before")).alias(out))
 
 
+def with_place(df: DataFrame, part: str = "__part", place: str = "__row_place") -> DataFrame:
+    """Adds where each row lies: its file by number and its row there, or its partition and its row there.
+
+    ``df`` is a Parquet table just read, whose files Spark wrote partition after partition, or else a
+    table that no file stands behind.
+    """
+    try:
+        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        number = [F.coalesce(F.regexp_extract(name, p, 1).try_cast("long"), F.lit(0)) for p in (r"^part-(\d+)-", r"-c(\d+)\.")]
+        return df.select("*", (number[0] * 1_000_000 + number[1]).alias(part), row.alias(place))
+    except AnalysisException:
+        at = F.monotonically_increasing_id()
+        return df.select("*", at.alias(place)).select(
+            *df.columns, F.shiftright(place, 33).alias(part), F.col(place).bitwiseAND((1 << 33) - 1).alias(place))
+
+
 def as_row(df: DataFrame, name: str = "__row") -> Column:
     """All columns as one struct, so that work columns can't clash with the caller's."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)

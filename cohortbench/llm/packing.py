@@ -8,14 +8,14 @@ batches are filled up to a token budget.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortbench.llm.common import byte_slices, global_rank, settled
+from cohortbench.llm.common import byte_slices, global_rank, placed_rank, settled
 
 MAX_LENGTH = 2048
 BUCKETS = 8
@@ -24,12 +24,12 @@ BUDGET = 65_536
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def _cutter(max_length: int, with_text: bool):
+def _cutter(max_length: int, with_text: bool, keep: Sequence[str]):
     room = max_length - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            kept = [batch.column(c) for c in keep]
             for first, end, data, rows in byte_slices(batch.column("text")):
                 raw, out = data.tobytes(), []
                 for i in range(first, end):
@@ -42,25 +42,28 @@ def _cutter(max_length: int, with_text: bool):
                         for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(text)], strict=True)):
                             out.append((i, k, min(room, n - k * room) + 1, text[a:b]))
                 take, chunk, length, texts = zip(*out, strict=True)
-                columns = [ids.take(pa.array(take)), pa.array(chunk, pa.int64()), pa.array(length, pa.int64())]
+                columns = [c.take(pa.array(take)) for c in kept]
+                columns += [pa.array(chunk, pa.int64()), pa.array(length, pa.int64())]
                 if with_text:
                     columns.append(pa.array(texts, pa.binary()).cast(pa.string()))
-                names = ["doc_id", "chunk", "length", "text"][: len(columns)]
+                names = [*keep, "chunk", "length", "text"][: len(columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return cut
 
 
-def sequences(docs: DataFrame, max_length: int = MAX_LENGTH, with_text: bool = False) -> DataFrame:
-    """doc_id, chunk, length[, text]: texts cut into sequences of at most ``max_length`` tokens.
+def sequences(docs: DataFrame, max_length: int = MAX_LENGTH, with_text: bool = False,
+              keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id[, keep], chunk, length[, text]: texts cut into sequences of at most ``max_length`` tokens.
 
     A token is a word or the end mark that closes each sequence, so an empty or absent text is one
     sequence of length 1. Cuts lie before a word; the texts of the chunks joined are the whole text.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, chunk long, length long" + ", text string" * with_text
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _cutter(max_length, with_text), shape)
+    keep = ["doc_id", *keep]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    shape = f"{kinds}, chunk long, length long" + ", text string" * with_text
+    return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(
+        _cutter(max_length, with_text, keep), shape)
 
 
 def optimal_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
@@ -94,25 +97,30 @@ def optimal_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, max_length: int = MAX_LENGTH, buckets: int = BUCKETS, budget: int = BUDGET,
-         with_text: bool = False) -> DataFrame:
+         with_text: bool = False, placed: tuple[str, str] | None = None) -> DataFrame:
     """doc_id, chunk, length, bucket, bound, padding, batch, slot[, text] of every sequence.
 
     bucket counts from 0 by bound; a batch of a bucket holds budget // bound sequences, and only the
     last one fewer. The histogram that reaches the driver has at most max_length rows. Rows repeated
-    in ``docs`` are sequences of their own; an empty table gives an empty result.
+    in ``docs`` are sequences of their own; an empty table gives an empty result. Batches of a bucket are
+    filled in a hashed order, or in the order of ``placed``: the two long columns of ``docs`` that say
+    where a row lies (``common.with_place``), the chunks of a text one after the other.
     """
     if not 1 < max_length <= budget:
         raise ValueError("max_length must be over 1 and within the budget")
-    rows = settled(sequences(docs, max_length))
+    rows = settled(sequences(docs, max_length, keep=placed or ()))
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     bounds = optimal_bounds(histogram, buckets)
     if with_text:
-        rows = sequences(docs, max_length, True)
+        rows = sequences(docs, max_length, True, placed or ())
     known = F.array(*[F.lit(b) for b in bounds]).cast("array<long>")
     rows = rows.withColumn("bucket", F.size(F.filter(known, lambda b: b < F.col("length"))))
     rows = rows.withColumn("bound", F.get(known, F.col("bucket")))
     order = ["doc_id", "chunk"]
-    ranked = global_rank(rows, ["bucket"], order, "rank", rows=sum(histogram.values()))
+    if placed:
+        ranked = placed_rank(rows, ["bucket"], *placed, [*order[1:], order[0]], "rank")
+    else:
+        ranked = global_rank(rows, ["bucket"], order, "rank", rows=sum(histogram.values()))
     per_batch = F.lit(budget).cast("long") / F.col("bound")
     per_batch = F.floor(per_batch).cast("long")
     return ranked.select(

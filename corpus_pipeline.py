@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortbench.llm import mixing, packing, pii, quality, simhash
-from cohortbench.llm.common import checkpoint_root, columns_of
+from cohortbench.llm.common import checkpoint_root, columns_of, with_place
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences with their bucket, batch, slot and text."""
-    return packing.pack(docs, with_text=True)
+    """Sequences with their bucket, batch, slot and text; the batches of a bucket follow the mix."""
+    return packing.pack(with_place(docs), with_text=True, placed=("__part", "__row_place"))
 
 
 STAGES = [("quality rules", keep_good), ("simhash near-dedup", keep_first), ("personal data", hide_personal),

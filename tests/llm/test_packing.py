@@ -5,8 +5,10 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortbench.llm import packing
+from cohortbench.llm.common import placed_rank, with_place
 
 
 def padding(histogram, bounds):
@@ -60,3 +62,19 @@ def test_batches(spark, odd_docs, no_docs):
     assert packing.pack(no_docs, with_text=True).count() == 0
     with pytest.raises(ValueError):
         packing.pack(odd_docs, max_length=50, budget=40)
+
+
+def test_batches_in_the_order_of_the_rows(spark, tmp_path):
+    rows = [(i * 37 % 500, "w " * (1 + i % 7), None) for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string, x string").repartition(13).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    lain = [r for f in sorted(docs.inputFiles()) for r in spark.read.parquet(f).collect()]
+    for table in (docs, spark.createDataFrame(lain, docs.schema)):
+        got = packing.pack(with_place(table), max_length=50, buckets=3, budget=200, placed=("__part", "__row_place"))
+        bound = {r["length"]: r["bound"] for r in got.collect()}
+        for b in set(bound.values()):
+            mine = got.where(F.col("bound") == b).orderBy("batch", "slot").collect()
+            assert [r["doc_id"] for r in mine] == [r["doc_id"] for r in lain if bound[len(r["text"].split()) + 1] == b]
+            assert [r["batch"] * (200 // b) + r["slot"] for r in mine] == list(range(len(mine)))
+    ranked = placed_rank(with_place(docs), ["x"], "__part", "__row_place", ["doc_id"], "rank", per_task=7)
+    assert [r["doc_id"] for r in ranked.orderBy("rank").collect()] == [r["doc_id"] for r in lain]

@@ -1,5 +1,10 @@
 """The pipeline stage by stage, each against its own input."""
 
+from bisect import bisect_left
+from collections import defaultdict
+from urllib.parse import urlparse
+
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -69,6 +74,24 @@ def test_packs_hold_every_text(stages):
     assert sum(r["length"] - 1 for r in rows) == sum(len(r["text"].encode().split()) for r in stages[4].collect())
 
 
+def test_batches_follow_the_mix(stages):
+    mix = []
+    for file in sorted(stages[4].inputFiles()):
+        mix += pq.read_table(urlparse(file).path, columns=["doc_id", "text"]).to_pylist()
+    rows = stages[5].collect()
+    bounds = sorted({r["bound"] for r in rows})
+    want = defaultdict(list)
+    for r in mix:
+        n = len((r["text"] or "").encode().split())
+        for chunk in range(max(1, -(-n // 2047))):
+            bucket = bisect_left(bounds, min(2047, n - chunk * 2047) + 1)
+            want[bucket].append((r["doc_id"], chunk))
+    got = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["bucket"], r["batch"], r["slot"])):
+        got[r["bucket"]].append((r["doc_id"], r["chunk"]))
+    assert got == want and len(mix) > len({r["doc_id"] for r in mix})
+
+
 def test_run_and_empty_tables(spark, odd_docs, no_docs, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages[5].count()
     for docs in (odd_docs, no_docs):
