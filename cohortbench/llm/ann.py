@@ -35,8 +35,33 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             flat.reshape(len(vectors), -1))
 
 
+#: Largest norm of a band over its smallest: wide bands cost recall, and very wide ones the digits of float32 distances.
+BAND = 2
+
+
+def bands(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, these vectors with the largest norm scaled to 1) by bands of norm, the largest norms first."""
+    top = np.abs(vectors).max(1)
+    unit = vectors / top[:, None]
+    norm = np.sqrt(np.einsum("ij,ij->i", unit, unit))
+    size = np.log2(top) + np.log2(norm)
+    order = np.argsort(-size, kind="stable")
+    size, out, at = size[order], [], 0
+    while at < len(order):
+        end = int(np.searchsorted(-size, math.log2(BAND) - size[at], "right"))
+        rows = np.sort(order[at:end])
+        largest = order[at]
+        out.append((rows, unit[rows] * (top[rows] / top[largest])[:, None] / norm[largest]))
+        at = end
+    return out
+
+
 class Shard:
-    """Vectors with their ids; equal vectors are one point of the graph, whose ids are kept sorted."""
+    """Vectors with their ids; equal vectors are one point, whose ids are kept sorted.
+
+    Points are split by bands of norm, each with a graph of its own, as one large vector would leave no
+    digits to the distances of the others. Bands that fit a beam need no graph: all their points are tried.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.vectors, which = np.unique(vectors + 0.0, axis=0, return_inverse=True)
@@ -44,21 +69,23 @@ class Shard:
         self.ids, which = ids[order], which.ravel()[order]
         self.first = np.searchsorted(which, np.arange(len(self.vectors) + 1))
         # Largest inner product becomes least distance once all points are lifted to the same norm.
-        scale = np.abs(self.vectors).max()
-        points = self.vectors / scale
-        squares = np.einsum("ij,ij->i", points, points)
-        self.scale = scale * math.sqrt(squares.max())
-        points = self.vectors / self.scale
-        lift = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", points, points)))
-        self.graph = Graph(np.concatenate([points, lift[:, None]], 1).astype(np.float32))
+        self.graphs, few = [], [np.zeros(0, np.int64)]
+        for rows, points in bands(self.vectors):
+            if len(rows) <= SEARCH_BEAM:
+                few.append(rows)
+                continue
+            lift = np.sqrt(np.maximum(0, 1 - np.einsum("ij,ij->i", points, points)))
+            self.graphs.append((rows, Graph(np.concatenate([points, lift[:, None]], 1).astype(np.float32))))
+        self.few = np.concatenate(few)
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> Iterator[tuple[int, int, float]]:
         """(query id, id, inner product) of the best k of each query, its own id left out."""
         asked = queries / np.abs(queries).max(1, keepdims=True)
         asked = np.concatenate([asked / np.linalg.norm(asked, axis=1)[:, None], np.zeros((len(queries), 1))], 1)
-        found, _ = self.graph.search(asked.astype(np.float32), max(beam, 2 * k))
-        for q, query, points in zip(ids.tolist(), queries, found, strict=True):
-            points = points[points >= 0]
+        asked = asked.astype(np.float32)
+        found = [(rows, graph.search(asked, max(beam, 2 * k))[0]) for rows, graph in self.graphs]
+        for i, (q, query) in enumerate(zip(ids.tolist(), queries, strict=True)):
+            points = np.concatenate([self.few, *(rows[near[i][near[i] >= 0]] for rows, near in found)])
             scores = np.einsum("ij,j->i", self.vectors[points], query)
             least = self.ids[self.first[points]]
             best: dict[int, float] = {}

@@ -1,6 +1,9 @@
 """Graph search against all inner products."""
 
+from collections import defaultdict
+
 import numpy as np
+import pytest
 
 from cohortbench.llm import ann
 from cohortbench.llm.graph import Graph
@@ -64,6 +67,37 @@ def test_odd_rows(spark):
     assert ann.nearest(none, none).count() == 0 and ann.nearest(df, none).count() == 0 and ann.nearest(none, df).count() == 0
 
 
+@pytest.mark.parametrize("norms", [[1e200, 3e201, 1e-200], [3e3, 1e6, 1e9, 1e12], [1e300, 1.7e308]])
+def test_recall_beside_outlier_norms(norms):
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((2500, 24))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    queries = vectors[::50].copy()
+    for i, norm in enumerate(norms):
+        vectors[7 * i + 1] *= norm
+    shard = ann.Shard(np.arange(2500), vectors)
+    got = defaultdict(list)
+    for q, i, score in shard.nearest(np.arange(-50, 0), queries, 20, ann.SEARCH_BEAM):
+        got[q].append(i)
+        assert np.isclose(score, vectors[i] @ queries[q], rtol=1e-12)
+    scores = queries @ vectors.T
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    assert sum(len(set(want[q].tolist()) & set(got[q])) for q in got) >= 0.95 * want.size
+    assert all(len(got[q]) == 20 for q in range(-50, 0))
+
+
+@pytest.mark.parametrize("spread", [0.5, 3, 100])
+def test_recall_over_wide_norms(spread):
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((3000, 24)) * 10 ** rng.uniform(-spread, spread, (3000, 1))
+    queries = rng.standard_normal((40, 24))
+    got = defaultdict(set)
+    for q, i, _ in ann.Shard(np.arange(3000), vectors).nearest(np.arange(-40, 0), queries, 20, ann.SEARCH_BEAM):
+        got[q].add(i)
+    want = np.argsort(-(queries @ vectors.T), axis=1, kind="stable")[:, :20]
+    assert sum(len(set(want[q].tolist()) & got[q]) for q in got) >= 0.95 * want.size
+
+
 def test_every_point_is_reached_and_degrees_are_bounded():
     rng = np.random.default_rng(1)
     points = np.concatenate([rng.standard_normal((700, 8)) * 0.01 + c for c in rng.standard_normal((5, 8)) * 50]).astype(np.float32)
