@@ -21,6 +21,10 @@ BLOCK_ROWS = 32
 PERIOD = 1000
 TEMPER = 0.7
 
+#: A fair period gives the smallest source this many slots, or as many as fit the longest period.
+FAIR_SLOTS = 10
+LONGEST_PERIOD = 250_000
+
 #: Components of a mixture; each takes a row on the driver and at least one slot of the period.
 MAX_SOURCES = 100_000
 
@@ -30,6 +34,16 @@ def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
     return {s: n**power for s, n in counts.items() if n > 0}
 
 
+def fair_period(weights: dict[str, float]) -> int:
+    """The period in which no source is raised to its least slot: the smallest has whole slots, ten if they fit.
+
+    A source of less than 1 / LONGEST_PERIOD of the mix is still raised to that: the period lies on the driver.
+    """
+    share = min(weights.values()) / sum(weights.values())
+    slots = max(1, min(FAIR_SLOTS, int(LONGEST_PERIOD * share)))
+    return max(PERIOD, round(min(LONGEST_PERIOD, slots / share)))
+
+
 def period_slots(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     """Slots of each source in a period, by largest remainder, at least one each."""
     period = max(period, 10 * len(weights))
@@ -62,7 +76,7 @@ def schedule(slots: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS,
-        period: int = PERIOD) -> DataFrame:
+        period: int | None = PERIOD) -> DataFrame:
     """Every row of ``docs`` in __row, with source, epoch, block, release, deadline, slot, position, through.
 
     Rows of a source come in a hashed order; a source that has given all its rows starts over (epoch),
@@ -70,7 +84,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     the target weights to its end. position is slot * block_rows plus the place in the block, unique
     and the order of the mix; through is the share of the slots before this one. Weights may be given by source (others get none and stay out) and are
     else tempered row counts. An absent source is the source "". Repeated rows count as rows.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Without a period it is the fair one of the weights; a given one
+    raises sources of less than one slot to a whole one.
     """
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     rows = docs.select(as_row(docs), source.alias("source"), F.col("doc_id").alias("__key"))
@@ -79,7 +94,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
         raise ValueError(f"a mixture has at most {MAX_SOURCES} sources")
     counts = {r["source"]: r["n"] for r in sorted(counted)}
     weights = tempered(counts) if weights is None else {s: w for s, w in weights.items() if counts.get(s) and w > 0}
-    slots = period_slots(weights, period) if weights else {}
+    slots = period_slots(weights, period or fair_period(weights)) if weights else {}
     table = schedule(slots) if slots else []
     length = len(table)
     at = {(s, k): t for s, k, _, _, t in table}
@@ -110,8 +125,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
 
 
 def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` in mixed order: partition after partition, sorted in each."""
+    """The rows of ``docs`` in mixed order: partition after partition, sorted in each; the period is the fair one."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = mix(docs, weights).select("__row", "position", F.floor(F.col("through") * parts).cast("int").alias("part"))
+    placed = mix(docs, weights, period=None).select("__row", "position", F.floor(F.col("through") * parts).cast("int").alias("part"))
     ordered = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("position")
     return ordered.select(*columns_of(ordered))

@@ -51,3 +51,24 @@ def test_given_weights_and_odd_rows(spark, odd_docs, no_docs):
     key = lambda r: str(tuple(r))
     assert {key(r) for r in every.collect()} == {key(r) for r in odd_docs.collect()}
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("counts", [
+    {"big": 20_000_000, "one": 1}, {"big": 40_000, "one": 1}, {"big": 10**6, **{f"s{i}": 1 + i % 3 for i in range(300)}},
+    {f"s{i}": 1000 + i for i in range(20)}])
+def test_fair_period_raises_no_source(counts):
+    weights = mixing.tempered(counts)
+    slots = mixing.period_slots(weights, mixing.fair_period(weights))
+    period, total = sum(slots.values()), sum(weights.values())
+    for s, n in slots.items():
+        assert abs(n - period * weights[s] / total) < 1
+        assert n <= 1.1 * period * weights[s] / total
+
+
+def test_small_source_keeps_its_weight_in_the_mixed_documents(spark):
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "'t' AS text", "if(id = 0, 'one', 'big') AS source")
+    every = mixing.mixed_documents(docs)
+    share = 1 / (39_999**mixing.TEMPER + 1)
+    n, one = every.count(), every.where("source = 'one'").count()
+    assert every.where("source = 'big'").distinct().count() == 39_999
+    assert 0 < one < share * n + mixing.BLOCK_ROWS  # less than one block over the target
