@@ -20,6 +20,10 @@ WIDTH = 12  # of each embedding
 HIDDEN = 16
 SLOTS = 1 << 20
 
+#: Code points of the longest run that is one word, and of the pieces of longer ones.
+LONGEST_WORD = 32
+PIECE = 8
+
 #: Windows that are computed at once.
 BLOCK = 2048
 
@@ -40,10 +44,30 @@ class Words:
     gram_slot: np.ndarray
 
 
+def _pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and word of every piece: long words are cut before code points, others are one piece."""
+    leads = (data & 0xC0) != 0x80
+    before = np.concatenate([[0], np.cumsum(leads)])
+    size = before[ends] - before[starts]
+    n = np.where(size > LONGEST_WORD, -(-size // PIECE), 1)
+    word = np.repeat(np.arange(len(starts)), n)
+    k = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+    first, later = starts[word], k > 0
+    first[later] = np.flatnonzero(leads)[before[first[later]] + k[later] * PIECE]
+    last = ends[word]
+    last[:-1][later[1:]] = first[1:][later[1:]]
+    return first, last, word
+
+
 def read_words(data: np.ndarray, rows: np.ndarray) -> Words:
-    """Letters, digits and all bytes beyond ASCII make words; A to Z count as lower case."""
+    """Letters, digits and all bytes beyond ASCII make words; A to Z count as lower case.
+
+    Runs over LONGEST_WORD code points, as in scripts without spaces, count as words of PIECE code points.
+    """
     data = _LOWER[data]
     starts, ends, row = word_bounds(data, rows, _IS_WORD[data])
+    starts, ends, word = _pieces(data, starts, ends)
+    row = row[word]
     hashes = word_hashes(data, starts, ends)
     distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
     sizes = ends[first] - starts[first]

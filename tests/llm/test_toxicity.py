@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from cohortbench.llm import gru, toxicity
+from cohortbench.llm.common import word_bounds
 
 
 def read(texts):
@@ -102,3 +103,20 @@ def test_texts_of_any_batch_score_alike():
     whole = scorer.scores(np.frombuffer(b"".join(texts), np.uint8), rows)
     alone = [scorer.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
     assert np.allclose(whole, alone, atol=1e-5)
+
+
+def test_runs_without_breaks_are_cut_into_words():
+    texts = ["汉字漢語" * 500, "x" * 33, "y" * 32, "short words stay", "", "é" * 40 + " end", "\U0001F600" * 100]
+    raw = [t.encode() for t in texts]
+    rows = np.cumsum([0, *map(len, raw)])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    words = gru.read_words(data, rows)
+    assert np.bincount(words.row, minlength=len(texts)).tolist() == [250, 5, 1, 3, 0, 6, 13]
+    starts, ends, _ = word_bounds(data, rows, gru._IS_WORD[data])
+    first, last, word = gru._pieces(data, starts, ends)
+    for w, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        own = [data[x:y].tobytes().decode() for x, y in zip(first[word == w], last[word == w], strict=True)]
+        assert "".join(own) == data[a:b].tobytes().decode()
+        assert len(own) == 1 or max(map(len, own)) == gru.PIECE
+    _, row = gru.windows(words, len(texts))
+    assert np.bincount(row).tolist() == [1 + -(-(250 - gru.WINDOW) // gru.STRIDE), 1, 1, 1, 1, 1, 1]
