@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. Cluster sizing (executors, memory, shuffle
 # partitions) is left to the cluster; AQE coalesces and splits at run time.
@@ -38,7 +38,20 @@ def local_session(cores: str = "*", memory: str = "8g", app: str = "cohortbench"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder path under the checkpoint folder every executor can reach.
+    """A fresh folder path under the checkpoint folder every executor can reach."""
+    return f"{scratch_root(spark)}/cohortbench/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the checkpoint folder and read from there."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The checkpoint folder.
 
     Only a local-mode session without that setting falls back to a temporary
     folder; on a cluster a machine-local folder would lose the files with the
@@ -47,9 +60,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="cohortbench-")
         root = _local_scratch.name
-    return f"{root.rstrip('/')}/cohortbench/{label}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
