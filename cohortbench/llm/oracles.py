@@ -4,11 +4,13 @@ Left out: hashes that DuckDB lacks (SimHash), learnt models (personal data, toxi
 search. Tests hold those against brute force. FP-growth's rules are counted here from all token sets.
 """
 
+from cohortbench.llm import topk
 from cohortbench.llm.chat import TURNS_PER_PART
 from cohortbench.llm.common import RANK_ROWS
 from cohortbench.llm.mixing import BLOCK_ROWS, PERIOD, TEMPER
 from cohortbench.llm.packing import BUCKETS, BUDGET, MAX_LENGTH
 from cohortbench.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS
+from cohortbench.llm.resampling import Resampling
 from cohortbench.llm.rules import URL_RULES
 from cohortbench.llm.url_rules import BLOCK, LOWER, UPPER, Mining
 
@@ -124,14 +126,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+#: The table of the CRC-32 of the polynomial 0xEDB88320.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc32(digits: str) -> str:
+    """The CRC-32 of bytes given as a list of hex pairs, with crc_table in scope."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform({digits}, lambda h: ('0x' || h)::BIGINT)), "
+            "lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)::BIGINT")
+
+
 SHARDS = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size, sha256(coalesce(text, '')) AS key,
     regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS digits FROM documents),
-crc_table AS (
-  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
-  FROM (SELECT unnest(range(256)) AS i)),
+{CRC_TABLE},
 g AS (SELECT key, sum(size)::BIGINT AS load, min(doc_id) AS tie FROM d GROUP BY key),
 o AS (SELECT *, row_number() OVER (ORDER BY load DESC, tie, key) AS i FROM g),
 s AS (
@@ -141,8 +153,7 @@ s AS (
     list_transform(loads, lambda x, n: CASE WHEN n = list_position(loads, list_min(loads)) THEN x + o.load ELSE x END)
   FROM s JOIN o ON o.i = s.i + 1)
 SELECT doc_id, size,
-  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(digits, lambda h: ('0x' || h)::BIGINT)),
-                  lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)::BIGINT AS text_crc32,
+  {crc32("digits")} AS text_crc32,
   'bytes' AS law, shard::INT AS shard,
   ({rank_sql('shard', 'doc_id, key', '(SELECT count(*) FROM d)')})::BIGINT AS slot, NULL::INT AS grown_shard
 FROM d JOIN s USING (key) CROSS JOIN crc_table
@@ -210,6 +221,49 @@ FROM r
 """
 
 
+def top_k_sql() -> str:
+    """Every pair of query and candidate; whole numbers stay exact as doubles at these sizes."""
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor({topk.SCALE} * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM p
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= {topk.NEAREST}
+"""
+
+
+def resampling_sql(how: Resampling = Resampling()) -> str:
+    """For runs of one word."""
+    words = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    b = how.buckets
+    return f"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS words FROM documents),
+w AS (SELECT r, unnest(words) AS word FROM d),
+y AS (SELECT unnest({words}) AS word FROM benchmark),
+k AS (SELECT word, {crc32("regexp_extract_all(hex(encode(word)), '..')")} % {b} AS bucket
+      FROM (SELECT word FROM w UNION SELECT word FROM y) CROSS JOIN crc_table),
+s AS (SELECT bucket, count(*) AS s FROM w JOIN k USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM y JOIN k USING (word) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln(
+        ((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM w) + {b}))
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM y) + {b}))))::BIGINT AS gain
+      FROM (SELECT DISTINCT bucket FROM k) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+m AS (SELECT r, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+      FROM w JOIN k USING (word) JOIN g USING (bucket) GROUP BY r),
+f AS (SELECT r, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('{how.seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+          + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM d LEFT JOIN m USING (r)),
+e AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM f WHERE n_features >= {how.min_words})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * {how.percent} // 100 THEN rank END::BIGINT AS rank
+FROM f LEFT JOIN e USING (r)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_url_rules": url_sql(),
     "op3_pfair_mix": MIX,
@@ -217,4 +271,6 @@ ORACLES: dict[str, str] = {
     "op8_length_buckets": packing_sql(),
     "op9_lpt_shards": SHARDS,
     "op10_chat_snapshots": CHAT,
+    "op11_mtree_topk": top_k_sql(),
+    "op13_importance_resampling": resampling_sql(),
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortbench.llm import ann, chat, mixing, packing, pii, quality, sharding, simhash, toxicity, url_rules
+from cohortbench.llm import (
+    ann, chat, mixing, packing, pii, quality, resampling, sharding, simhash, topk, toxicity, url_rules, whitening,
+)
 from cohortbench.llm.rules import URL_RULES
 
 
@@ -70,6 +72,20 @@ def op10_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op11_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "embeddings")
+    return topk.top_k(base, base.where(F.col("vec_id") % 100 == 0))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_rules, op2_pii_spans, op3_pfair_mix, op4_graph_ann, op5_toxicity_gru, op6_quality_cascade,
-    op7_simhash_gray, op8_length_buckets, op9_lpt_shards, op10_chat_snapshots)}
+    op7_simhash_gray, op8_length_buckets, op9_lpt_shards, op10_chat_snapshots,
+    op11_mtree_topk, op12_whitening, op13_importance_resampling)}
