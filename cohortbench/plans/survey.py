@@ -11,12 +11,14 @@ read the written tables back, so Catalyst plans with their true sizes.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortbench.functions import codes
 from cohortbench.functions import rates as r
@@ -35,6 +37,7 @@ from cohortbench.operators.peers import (
 )
 from cohortbench.plans import vocabulary as v
 from cohortbench.sinks import exports
+from cohortbench.sinks.snapshots import Store, Version
 from cohortbench.sources.delimited import (
     Catalogue,
     encodings,
@@ -43,6 +46,7 @@ from cohortbench.sources.delimited import (
     unite,
 )
 from cohortbench.sources.headers import MissingColumns, clean_name, require_columns
+from cohortbench.sources.records import read_records
 from cohortbench.sources.warehouse import latest_year_rows
 
 KEY = "unitid"
@@ -71,6 +75,9 @@ class MartNames:
 # --- landing -----------------------------------------------------------------
 
 
+IDS = "UNITID bigint"
+
+
 def file_schema(family: str) -> dict[str, str]:
     return {name: type_name for name, (_, type_name) in v.STAGED[family].items()}
 
@@ -105,29 +112,36 @@ def land(
     strict: bool = True,
     multiline: bool = False,
 ) -> DataFrame:
-    """Files to Parquet under out/<family>, partitioned by year; returns the load audit.
+    """Files to Parquet under out, by family and year; returns the load audit.
 
     A landing replaces the years it finds files for and keeps the other years that lie
-    there; the audit of a year without a file counts the rows kept of it.
+    there; the audit of a year without a file counts the rows kept of it. All families
+    become a new version at once, at the end: a landing that dies on the way changes
+    nothing that readers see.
 
     The directory comes first: its ids, over all years, restrict every other
-    family. Without a scope everything is kept. The audit has a row per family
-    and year with status, reason and row_count. Files whose quoted values hold
-    line breaks need multiline, at the price of one task per file.
+    family; without one in the catalogue the ids of the version before do. Without a
+    scope everything is kept. The audit has a row per family and year with status,
+    reason and row_count. Files whose quoted values hold line breaks need multiline.
     """
     audit: list[tuple[str, int, str, str | None, int]] = []
+    store = Store(spark, out)
+    change = store.begin()
     ids = None
+    if scope and "hd" not in catalogue.years and "_ids" in change.base.tables:
+        ids = store.read(change.base, "_ids", IDS)
     families = sorted(catalogue.years, key=lambda f: f != "hd")
+    written = False
     for family in families:
         frames, years, unread = [], [], []
         files = catalogue.files(family)
         there = published_files(spark, files)
-        known = encodings(spark, list(there.values()))
+        known = {} if multiline else encodings(spark, list(there.values()))
         for year, path in files:
             if year not in there:
                 unread.append((year, quality.NOT_PUBLISHED, f"no file {path}"))
                 continue
-            raw = read_text_columns(spark, path, known[path], multiline)
+            raw = read_records(spark, path) if multiline else read_text_columns(spark, path, known[path])
             if family == "hd" and scope:
                 try:
                     require_columns(raw, ["UNITID", "STABBR", "SECTOR"], path)
@@ -144,58 +158,36 @@ def land(
             frames.append(typed.withColumn("YEAR", F.lit(year)))
             years.append(year)
         if frames:
-            replace_years(unite(frames), f"{out}/{family}", years)
-        counts = landed_counts(spark, out, family)
+            change.write_years(family, unite(frames), years, "YEAR")
+            written = True
+        counts = change.pending().rows(family)
         audit += [(family, year, state, why, counts.get(year, 0)) for year, state, why in unread]
         for year in years:
             n = counts.get(year, 0)
             audit.append((family, year, quality.OK if n else quality.EMPTY, None, n))
-        if not frames and not counts:
-            continue
-        kept = landed(spark, out, family)
-        if family == "hd" and scope:
-            ent.distinct_ids(kept, "UNITID").write.mode("overwrite").parquet(f"{out}/_ids")
+        if family == "hd" and scope and (frames or counts):
+            kept = landed(spark, out, family, change.pending())
+            change.write_whole("_ids", ent.distinct_ids(kept, "UNITID"))
             ids = exports.require_rows(
-                spark.read.schema("UNITID bigint").parquet(f"{out}/_ids"),
-                "no entity passes the landing filter",
+                store.read(change.pending(), "_ids", IDS), "no entity passes the landing filter"
             )
+    if written:
+        change.commit()
     return spark.createDataFrame(
         audit, "family string, year int, status string, reason string, row_count bigint"
     )
 
 
-def replace_years(rows: DataFrame, target: str, years: list[int]) -> None:
-    """Write the rows over what lies there of the given years, and leave the other years.
-
-    The rows of each year are counted by the write itself. A year that now has none
-    would keep its old folder, so its folder is written anew without rows.
-    """
-    seen = Observation()
-    counted = rows.observe(seen, *[F.count_if(F.col("YEAR") == y).alias(str(y)) for y in years])
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("YEAR")
-        .parquet(target)
-    )
-    for year in years:
-        if not seen.get[str(year)]:
-            rows.drop("YEAR").limit(0).write.mode("overwrite").parquet(f"{target}/YEAR={year}")
-
-
-def landed_counts(spark: SparkSession, out: str, family: str) -> dict[int, int]:
-    """Rows on disk by year; none if nothing has been landed."""
-    try:
-        rows = landed(spark, out, family)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    return {row.YEAR: row["count"] for row in rows.groupBy("YEAR").count().collect()}
-
-
-def landed(spark: SparkSession, out: str, family: str) -> DataFrame:
-    return spark.read.schema(landed_schema(family)).parquet(f"{out}/{family}")
+def landed(
+    spark: SparkSession,
+    out: str,
+    family: str,
+    version: Version | None = None,
+    years: Iterable[int] | None = None,
+) -> DataFrame:
+    """Rows of a family in a version of the landing, the newest if none is given."""
+    store = Store(spark, out)
+    return store.read(version or store.current(), family, landed_schema(family), years)
 
 
 # --- staging -----------------------------------------------------------------
@@ -221,18 +213,23 @@ def stage(landed_rows: DataFrame, family: str) -> DataFrame:
     return staged
 
 
-def staged_family(spark: SparkSession, out: str, family: str) -> DataFrame:
-    return stage(landed(spark, out, family), family)
+def staged_family(
+    spark: SparkSession,
+    out: str,
+    family: str,
+    version: Version | None = None,
+    years: Iterable[int] | None = None,
+) -> DataFrame:
+    return stage(landed(spark, out, family, version, years), family)
 
 
 # --- models -----------------------------------------------------------------
 
 
-def entity_set(institutions: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    """Public two-year colleges of the state by any of five rules in any year.
+def directory_rows(institutions: DataFrame, scope: Scope = Scope()) -> DataFrame:
+    """Directory rows with whether the entity qualifies by any of five rules and is current.
 
-    A rule with a null input does not hold, and does not keep the others from
-    holding. Rows describe the entity by the newest directory year.
+    A rule with a null input does not hold, and does not keep the others from holding.
     """
     public = F.col("control") == 1
     in_state = F.col("state_code") == scope.state
@@ -244,9 +241,9 @@ def entity_set(institutions: DataFrame, scope: Scope = Scope()) -> DataFrame:
         | (public & codes.name_contains(F.col("institution_name"), scope.name_terms))
     )
     current = in_state & (F.col("active_current_year") == 1)
-    described = ent.qualify_any_year(institutions, KEY, "year", qualifies, current)
-    return described.select(
-        KEY, "institution_name", "city", "state_code", "latitude", "longitude",
+    return institutions.select(
+        *KEYS, qualifies.alias("qualifies"), current.alias("current"),
+        "institution_name", "city", "state_code", "latitude", "longitude",
         "sector", "sector_name", "control_name", "locale_type",
         "institution_size_category", "website_url",
         codes.decode(
@@ -255,6 +252,15 @@ def entity_set(institutions: DataFrame, scope: Scope = Scope()) -> DataFrame:
     )
 
 
+def entity_set(directory: DataFrame) -> DataFrame:
+    """Public two-year colleges of the state by any of the rules in any year.
+
+    Rows describe the entity by the newest directory year.
+    """
+    described = ent.qualify_any_year(directory, KEY, "year", F.col("qualifies"), F.col("current"))
+    return described.drop("year", "qualifies", "current")
+
+
 def peer_tiers() -> list[Tier]:
     return [
         size_tier("size_tier", F.col("total_enrollment"), 5000, 15000),
@@ -269,26 +275,28 @@ def peer_tiers() -> list[Tier]:
     ]
 
 
-def peer_groups(members: DataFrame, enrollment: DataFrame, aid: DataFrame) -> DataFrame:
-    """Tiers from the newest enrollment and aid years of the whole families."""
+def enrollment_rows(enrollment: DataFrame) -> DataFrame:
+    """Totals and shares of all students together."""
     total = F.col("total_enrollment")
-    newest_enrollment = (
-        latest_year_rows(enrollment)
-        .where(F.col("student_level") == 1)
-        .select(
-            KEY,
-            total,
-            *[
-                r.safe_pct(F.col(f"{g}_total"), total).alias(f"pct_{g}")
-                for g in ("hispanic", "black", "white")
-            ],
-        )
-    )
-    newest_aid = latest_year_rows(aid).select(
-        KEY, F.col("all_ug_pell_recipients_percent").alias("pct_pell")
+    return enrollment.where(F.col("student_level") == 1).select(
+        *KEYS,
+        total,
+        *[
+            r.safe_pct(F.col(f"{g}_total"), total).alias(f"pct_{g}")
+            for g in ("hispanic", "black", "white")
+        ],
     )
+
+
+def aid_rows(aid: DataFrame) -> DataFrame:
+    return aid.select(*KEYS, F.col("all_ug_pell_recipients_percent").alias("pct_pell"))
+
+
+def peer_groups(members: DataFrame, enrollment: DataFrame, aid: DataFrame) -> DataFrame:
+    """Tiers from the rows of the newest enrollment and aid years."""
     described = members.select(KEY, "institution_name", "city", "locale_type", "size_category_name")
-    return with_tiers(ent.attach(described, newest_enrollment, newest_aid, key=KEY), peer_tiers())
+    attached = ent.attach(described, enrollment.drop("year"), aid.drop("year"), key=KEY)
+    return with_tiers(attached, peer_tiers())
 
 
 COMPLETION_GROUPS = {
@@ -303,7 +311,7 @@ COMPLETION_GROUPS = {
 }
 
 
-def completion_metrics(completions: DataFrame, members: DataFrame) -> DataFrame:
+def completion_metrics(completions: DataFrame) -> DataFrame:
     """Awards per entity-year from the all-programs rows, code 99."""
     level, all_awards = F.col("award_level"), r.whole(F.col("total_completions"))
     totals = completions.where(codes.equals_code(F.col("cip_code"), 99))
@@ -317,7 +325,7 @@ def completion_metrics(completions: DataFrame, members: DataFrame) -> DataFrame:
     for group, column in COMPLETION_GROUPS.items():
         sums[f"associate_{group}"] = sum_of_codes(level, [3], r.whole(F.col(column)))
     counted = totals.groupBy(*KEYS).agg(*[s.alias(name) for name, s in sums.items()])
-    counted = ent.restrict(counted, members, KEY).select(
+    counted = counted.select(
         *KEYS, *[r.published_count(F.col(name)).alias(name) for name in sums]
     )
     degrees = F.col("associate_degrees")
@@ -342,7 +350,7 @@ RATE_GROUPS = {
 }
 
 
-def graduation_metrics(graduation: DataFrame, members: DataFrame) -> DataFrame:
+def graduation_metrics(graduation: DataFrame) -> DataFrame:
     """Rates per entity-year, two-year cohort codes before four-year ones."""
     code = F.col("cohort_type")
     wanted = [c for pair in COHORT_ROLES.values() for c in pair]
@@ -357,7 +365,6 @@ def graduation_metrics(graduation: DataFrame, members: DataFrame) -> DataFrame:
         .groupBy(*KEYS)
         .agg(*[value.alias(name) for name, value in roles.items()])
     )
-    wide = ent.restrict(wide, members, KEY)
     cohort, completers, transfers = (F.col(f"{role}_all") for role in COHORT_ROLES)
     rated = wide.select(
         "*",
@@ -386,15 +393,15 @@ def graduation_metrics(graduation: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def retention_metrics(retention: DataFrame, members: DataFrame) -> DataFrame:
-    """Retention rows of the entity set with the rate over both parts.
+def retention_metrics(retention: DataFrame) -> DataFrame:
+    """Retention rows with the rate over both parts.
 
     The blended rate treats a missing part as absent; the cohort total is unknown
     as soon as one part is.
     """
     ft = (F.col("ft_students_retained"), F.col("ft_adjusted_cohort"))
     pt = (F.col("pt_students_retained"), F.col("pt_adjusted_cohort"))
-    return ent.restrict(retention, members, KEY).select(
+    return retention.select(
         *KEYS,
         "full_time_retention_rate",
         "part_time_retention_rate",
@@ -578,6 +585,33 @@ def equity_report(
     )
 
 
+def models(scope: Scope) -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
+    """Tables by entity and year, each with its family and how a year's staged rows become it.
+
+    No model looks beyond the year it is built for, so a year of one stays right
+    while the files of other years change.
+    """
+    return {
+        "_directory": ("hd", lambda rows: directory_rows(rows, scope)),
+        "_completions": ("c_a", completion_metrics),
+        "_graduation": ("gr", graduation_metrics),
+        "_retention": ("ef_d", retention_metrics),
+        "_enrollment": ("effy", enrollment_rows),
+        "_aid": ("sfa", aid_rows),
+    }
+
+
+def changed_years(landing: Version, built: Version, family: str) -> tuple[list[int], list[int]]:
+    """Years of a family to be built anew, and years that are gone, since the marts were built."""
+    now, then = landing.folders(family), built.notes.get("sources", {}).get(family, {})
+    anew = sorted(int(y) for y, folder in now.items() if y not in then or then[y] != folder)
+    return anew, sorted(int(y) for y in then if y not in now)
+
+
+def _differ(one: DataFrame, other: DataFrame) -> bool:
+    return not one.exceptAll(other).isEmpty() or not other.exceptAll(one).isEmpty()
+
+
 def write_marts(
     spark: SparkSession,
     landed_root: str,
@@ -585,38 +619,90 @@ def write_marts(
     scope: Scope = Scope(),
     published_grain: bool = False,
     names: MartNames = MartNames(),
+    full: bool = False,
 ) -> dict[str, DataFrame]:
-    """Compute and write the four marts; returns them as read back.
-
-    The entity set and the three metric models are written first, since the fact,
-    the dimension and the equity report all read them. published_grain leaves the
-    year out of both reports and pairs all years in the equity report.
+    """Bring the four marts up to the newest landing; returns them as read back.
+
+    The marts know which landed folders they were built from. Models by entity and
+    year are built anew for the years whose folder is another one now, and kept for
+    the others, so that only those years are scanned. From there on tables have a row
+    per entity and year: the fact is written for the years any model changed in, or
+    for all of them once the entity set differs; dimension and reports are written if
+    what they are made of changed. All of it becomes a new version at the end. Other
+    settings, or full, build everything.
+
+    published_grain leaves the year out of both reports and pairs all years in the
+    equity report.
     """
-
-    def kept(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        exports.write_parquet(df, f"{out}/{name}", partition_by, rebalance=True)
-        return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(*df.columns)
-
-    def staged(family: str) -> DataFrame:
-        return staged_family(spark, landed_root, family)
-
-    members = exports.require_rows(
-        kept("_members", entity_set(staged("hd"), scope)), "no entity qualifies"
-    )
-    completions = kept("_completions", completion_metrics(staged("c_a"), members))
-    graduation = kept("_graduation", graduation_metrics(staged("gr"), members))
-    retention = kept("_retention", retention_metrics(staged("ef_d"), members))
-    groups = peer_groups(members, staged("effy"), staged("sfa"))
-
-    dim = kept(names.dim, dimension(members, groups, retention))
-    fact = kept(
-        names.fact, outcome_fact(members, completions, graduation, retention), ["year"]
-    )
-    peers = kept(names.peers, peer_report(dim, fact, with_year=not published_grain))
-    equity = kept(
-        names.equity, equity_report(dim, fact, completions, keyed=not published_grain)
-    )
-    return {names.dim: dim, names.fact: fact, names.peers: peers, names.equity: equity}
+    landing, store = Store(spark, landed_root).current(), Store(spark, out)
+    settings = json.loads(json.dumps([asdict(scope), published_grain, asdict(names)]))
+    change = store.begin()
+    if full or change.base.notes.get("settings") != settings:
+        change.clear()
+    built = Version(tables=change.base.tables, notes=change.pending().notes)
+    schemas: dict[str, StructType] = {}
+    touched: dict[str, set[int]] = {}
+
+    def read(table: str, years: Iterable[int] | None = None) -> DataFrame:
+        schema = schemas[table]
+        return store.read(change.pending(), table, schema, years).select(*schema.fieldNames())
+
+    def write(table: str, rows: DataFrame, years: list[int] | None = None) -> None:
+        schemas[table] = rows.schema
+        if years is None:
+            change.write_whole(table, rows)
+        else:
+            change.write_years(table, rows, years, "year", rebalance=True)
+
+    for table, (family, build) in models(scope).items():
+        anew, gone = changed_years(landing, built, family)
+        rows = build(staged_family(spark, landed_root, family, landing, anew))
+        write(table, rows, anew)
+        change.drop_years(table, gone)
+        touched[table] = {*anew, *gone}
+
+    def newest(table: str) -> DataFrame:
+        """The model's rows of the newest year its family has any of."""
+        years = [y for y, n in landing.rows(models(scope)[table][0]).items() if n]
+        return read(table, [max(years)] if years else [])
+
+    def renewed(table: str, rows: DataFrame, due: bool) -> bool:
+        """Writes a table if it is due; whether it differs from the one before."""
+        schemas[table] = rows.schema
+        if table not in change.pending().tables:
+            write(table, rows)
+            return True
+        if not due:
+            return False
+        before = read(table)
+        write(table, rows)
+        return _differ(read(table), before)
+
+    regrouped = renewed("_members", entity_set(read("_directory")), bool(touched["_directory"]))
+    members = exports.require_rows(read("_members"), "no entity qualifies")
+    yearly = [t for t in ("_completions", "_graduation", "_retention")]
+    completions, graduation, retention = (ent.restrict(read(t), members, KEY) for t in yearly)
+    groups = peer_groups(members, newest("_enrollment"), newest("_aid"))
+    due = regrouped or any(touched[t] for t in ("_enrollment", "_aid", "_retention"))
+    described = renewed(names.dim, dimension(members, groups, retention), due)
+
+    every = {y for t in yearly for y in change.pending().rows(t)}
+    anew = set().union(*(touched[t] for t in yearly))
+    anew = every if regrouped else anew & every
+    parts = [ent.restrict(read(t, anew), members, KEY) for t in yearly]
+    write(names.fact, outcome_fact(members, *parts), sorted(anew))
+    gone = set(change.pending().rows(names.fact)) - every
+    change.drop_years(names.fact, gone)
+
+    dim, fact = read(names.dim), read(names.fact)
+    due = described or bool(anew or gone)
+    renewed(names.peers, peer_report(dim, fact, with_year=not published_grain), due)
+    equity = equity_report(dim, fact, completions, keyed=not published_grain)
+    renewed(names.equity, equity, due)
+    if due or any(touched.values()):
+        sources = {family: landing.folders(family) for family, _ in models(scope).values()}
+        change.commit({"settings": settings, "sources": sources, "landing": landing.number})
+    return {t: read(t) for t in (names.dim, names.fact, names.peers, names.equity)}
 
 
 def register(marts: Mapping[str, DataFrame]) -> None:

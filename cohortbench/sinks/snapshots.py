@@ -21,6 +21,7 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Key of the only part of a table that is not split by year.
 WHOLE = "*"
@@ -129,7 +130,7 @@ class Store:
     def begin(self) -> Change:
         return Change(self, self.current())
 
-    def read(self, version: Version, table: str, schema: str, years: Iterable[int] | None = None) -> DataFrame:
+    def read(self, version: Version, table: str, schema: str | StructType, years: Iterable[int] | None = None) -> DataFrame:
         """The table's rows in that version, ``schema`` naming all columns; only the folders of ``years`` if given."""
         wanted = None if years is None else {str(y) for y in years}
         parts = version.tables.get(table, {})
@@ -170,6 +171,7 @@ class Change:
     def __init__(self, store: Store, base: Version):
         self.store, self.base, self.id = store, base, uuid.uuid4().hex
         self._tables: dict[str, dict[str, Part]] = {t: dict(parts) for t, parts in base.tables.items()}
+        self._notes = dict(base.notes)
 
     def write_years(self, table: str, rows: DataFrame, years: Iterable[int], year: str, rebalance: bool = False) -> None:
         """Rows of exactly these years, in place of those the table has of them; other years stay.
@@ -197,13 +199,18 @@ class Change:
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.store.root}/{folder}")
         self._tables[table] = {WHOLE: Part(folder, seen.get["rows"])}
 
+    def clear(self) -> None:
+        """Begins from no tables and no notes; the version before stays as it is."""
+        self._tables = {}
+        self._notes = {}
+
     def drop_years(self, table: str, years: Iterable[int]) -> None:
         for y in years:
             self._tables.get(table, {}).pop(str(y), None)
 
     def pending(self, notes: Mapping[str, Any] | None = None) -> Version:
         """The version as it would be committed now; for the writer's own reads."""
-        return Version(self.base.number + 1, self._tables, dict(self.base.notes if notes is None else notes))
+        return Version(self.base.number + 1, self._tables, dict(self._notes if notes is None else notes))
 
     def commit(self, notes: Mapping[str, Any] | None = None) -> Version:
         new = self.pending(notes)

@@ -1,6 +1,7 @@
 """The survey plan end to end on small files written here."""
 
 import csv
+import shutil
 from decimal import Decimal as D
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortbench.operators import quality
 from cohortbench.plans import dashboard, survey
 from cohortbench.sinks.exports import EmptyExport
+from cohortbench.sinks.snapshots import Change, Store
 from cohortbench.sources.delimited import Catalogue
 
 HD = [
@@ -177,11 +179,106 @@ def test_fact(built):
 
 def test_models_keep_their_null_rules(spark, built):
     out, _, _ = built
-    retention = spark.read.parquet(f"{out}/marts/_retention")
+    retention = spark.read.parquet(f"{out}/marts/data/_retention")
     assert row(retention, unitid=100, year=2021).total_adjusted_cohort is None
     assert row(retention, unitid=100, year=2020).total_adjusted_cohort == D(714)
 
 
+TABLES = ("institution_dim", "outcome_fact", "peer_report", "equity_report")
+
+
+def cells(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def landing(spark, raw, tmp_path):
+    """A copy of the raw files that a test may change, and how to land it."""
+    source = tmp_path / "in"
+    shutil.copytree(raw, source)
+    years = {f: range(2020, 2022) for f in ("c_a", "effy", "hd", "ef_d")}
+    catalogue = Catalogue(str(source), {**years, "gr": [2020], "sfa": [2020, 2021]})
+    return source, catalogue, str(tmp_path / "landed"), str(tmp_path / "marts")
+
+
+def replaced(source, name, **cells):
+    """Gives a column of a file another value in every row."""
+    lines = list(csv.reader((source / name).read_bytes().decode("utf-8-sig", "replace").splitlines()))
+    names = [n.strip().upper() for n in lines[0]]
+    for line in lines[1:]:
+        for column, value in cells.items():
+            line[names.index(column)] = value
+    put(source, name, lines[0], lines[1:])
+
+
+@pytest.mark.parametrize("name, column, value, years", [
+    ("c_a_2020.csv", "CTOTALT", 77, {2020}),
+    ("hd_2020.csv", "CITY", "Anders", set()),
+    ("hd_2021.csv", "INSTNM", "Anders", {2020, 2021}),
+])
+def test_a_replaced_year_gives_what_a_full_build_gives(spark, landing, tmp_path, name, column, value, years):
+    source, catalogue, out, marts = landing
+    survey.land(spark, catalogue, out)
+    survey.write_marts(spark, out, marts)
+    before = Store(spark, marts).current()
+    family, year = name.removesuffix(".csv").rsplit("_", 1)
+    replaced(source, name, **{column: value})
+    one = {f: [int(year)] for f in {family, "hd"} if f == family}
+    survey.land(spark, Catalogue(str(source), one), out)
+    version = Store(spark, out).current()
+    assert survey.changed_years(version, before, family) == ([int(year)], [])
+    files = survey.staged_family(spark, out, family, version, [int(year)]).inputFiles()
+    assert files and all(f"YEAR={year}" in f for f in files)
+    refreshed = survey.write_marts(spark, out, marts)
+    anew = survey.write_marts(spark, out, str(tmp_path / "anew"))
+    assert {t: cells(refreshed[t]) for t in TABLES} == {t: cells(anew[t]) for t in TABLES}
+    after = Store(spark, marts).current()
+    was, now = before.folders("outcome_fact"), after.folders("outcome_fact")
+    assert {int(y) for y in now if now[y] != was.get(y)} == years
+    model = next(t for t, (f, _) in survey.models(survey.Scope()).items() if f == family)
+    was, now = before.folders(model), after.folders(model)
+    assert {int(y) for y in now if now[y] != was[y]} == {int(year)}
+
+
+def test_marts_without_a_new_landing_stay_as_they_are(spark, landing):
+    _, catalogue, out, marts = landing
+    survey.land(spark, catalogue, out)
+    first = survey.write_marts(spark, out, marts)
+    again = survey.write_marts(spark, out, marts)
+    assert Store(spark, marts).numbers() == [1]
+    assert {t: cells(first[t]) for t in TABLES} == {t: cells(again[t]) for t in TABLES}
+    other = survey.write_marts(spark, out, marts, published_grain=True)
+    assert "year" not in other["peer_report"].columns and Store(spark, marts).numbers() == [1, 2]
+
+
+def test_a_landing_that_dies_changes_nothing(spark, landing, monkeypatch):
+    source, catalogue, out, marts = landing
+    survey.land(spark, catalogue, out)
+    survey.write_marts(spark, out, marts)
+    families = ("hd", "c_a", "gr")
+    before = {f: cells(survey.landed(spark, out, f)) for f in families}
+    pinned = Store(spark, out).current()
+    for name in ("hd_2021.csv", "hd_2020.csv"):
+        replaced(source, name, INSTNM="Anders")
+    write, calls = Change.write_years, []
+
+    def dies(self, table, *args, **kwargs):
+        calls.append(table)
+        if len(calls) == 3:
+            raise OSError("the driver is gone")
+        return write(self, table, *args, **kwargs)
+
+    monkeypatch.setattr(Change, "write_years", dies)
+    with pytest.raises(OSError):
+        survey.land(spark, catalogue, out)
+    monkeypatch.undo()
+    assert calls[0] == "hd" and {f: cells(survey.landed(spark, out, f)) for f in families} == before
+    assert len(Store(spark, out).vacuum(keep=2, older_than=0)) >= 2
+    survey.land(spark, catalogue, out)
+    assert {r.INSTNM for r in survey.landed(spark, out, "hd").collect()} == {"Anders"}
+    assert {f: cells(survey.landed(spark, out, f, pinned)) for f in families} == before
+
+
 def test_peer_report(built):
     _, _, marts = built
     a = row(marts["peer_report"], unitid=100, year=2020)
