@@ -310,11 +310,15 @@ SELECT o_orderkey,
 FROM orders""",
     "mixed_encoding_read": """
 SELECT doc_id, lang, source, CASE WHEN trim(text) NOT IN ('', '.', 'NULL') THEN text END AS text
+FROM documents""",
+    "multiline_records": """
+SELECT doc_id, lang, source, n_chars, CASE WHEN trim(text) NOT IN ('', '.', 'NULL') THEN text END AS text
 FROM documents""",
     "window_read": with_ctes(
         *FACTS,
-        select="""SELECT entity_name, year, CAST(overall_rate AS DOUBLE) AS overall_rate, entering_size
-FROM fact WHERE year BETWEEN 1996 AND 1999 ORDER BY year, entity_name""",
+        select="""SELECT entity_name, year, CAST(overall_rate AS DOUBLE) AS overall_rate, entering_size,
+  row_number() OVER (ORDER BY year, entity_name) AS place
+FROM fact WHERE year BETWEEN 1996 AND 1999""",
     ),
     "staged_orders": """
 SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_code,
@@ -481,8 +485,8 @@ FROM peer_rows p LEFT JOIN averages a ON p.size_tier = a.size_tier AND p.is_flag
         NEWEST,
         select="""SELECT entity_name AS entity, CAST(grad_rate AS DOUBLE) AS graduation,
   CAST(success_rate AS DOUBLE) AS success, CAST(ft_rate AS DOUBLE) AS retention,
-  code_3 AS degrees, total_units AS completions
-FROM newest ORDER BY graduation DESC NULLS LAST""",
+  code_3 AS degrees, total_units AS completions,
+  row_number() OVER (ORDER BY grad_rate DESC NULLS LAST, entity_name) AS place FROM newest""",
     ),
     "display_table": with_ctes(
         *FACTS,
@@ -498,13 +502,15 @@ FROM newest""",
     "ranked_metric": with_ctes(
         *FACTS,
         NEWEST,
-        select="""SELECT entity_name, CAST(grad_rate AS DOUBLE) AS grad_rate FROM newest
-WHERE grad_rate IS NOT NULL AND entity_name IS NOT NULL ORDER BY grad_rate""",
+        select="""SELECT entity_name, CAST(grad_rate AS DOUBLE) AS grad_rate,
+  row_number() OVER (ORDER BY grad_rate, entity_name) AS place
+FROM newest WHERE grad_rate IS NOT NULL AND entity_name IS NOT NULL""",
     ),
     "metric_trend": with_ctes(
         *FACTS,
         select="""SELECT entity_name, year, CAST(grad_rate AS DOUBLE) AS grad_rate,
-  CAST(ft_rate AS DOUBLE) AS ft_rate, code_3, total_units FROM fact ORDER BY entity_name, year""",
+  CAST(ft_rate AS DOUBLE) AS ft_rate, code_3, total_units,
+  row_number() OVER (ORDER BY entity_name, year) AS place FROM fact""",
     ),
     "year_grid": with_ctes(
         *FACTS,
@@ -542,8 +548,9 @@ WHERE gap_r IS NOT NULL AND gap_n IS NOT NULL""",
   CAST(gap_r AS DOUBLE) AS r_gap, CAST(gap_n AS DOUBLE) AS n_gap FROM newest""",
     ),
     "entity_search": """
-SELECT DISTINCT c_name AS entity_name FROM customer JOIN orders ON o_custkey = c_custkey
-WHERE lower(c_name) LIKE '%r#00000001%' ORDER BY 1""",
+SELECT entity_name, row_number() OVER (ORDER BY entity_name) AS place
+FROM (SELECT DISTINCT c_name AS entity_name FROM customer JOIN orders ON o_custkey = c_custkey
+      WHERE lower(c_name) LIKE '%r#00000001%')""",
     "entity_selection": with_ctes(
         ORDER_ROWS,
         RETENTION,
@@ -618,8 +625,9 @@ WHERE a.status = 'ok' AND m.years >= 3 AND m.median_rows > 0 AND a.row_count < m
     "load_summary": with_ctes(
         AUDIT,
         select="""SELECT status, count(*) AS files,
-  string_agg(family || ' ' || year, ', ' ORDER BY family, year) AS members
-FROM audit GROUP BY status ORDER BY status""",
+  string_agg(family || ' ' || year, ', ' ORDER BY family, year) AS members,
+  row_number() OVER (ORDER BY status) AS place
+FROM audit GROUP BY status""",
     ),
     "guards": """
 SELECT 'entity_set' AS guard, count(*) > 0 AS passed, count(*) AS seen FROM customer
@@ -638,7 +646,8 @@ FROM retention CROSS JOIN (VALUES ('csv'), ('parquet')) f(format)""",
     "export_json": with_ctes(
         *FACTS,
         select="""SELECT entity_name AS entity, year, CAST(grad_rate AS DOUBLE) AS grad_rate,
-  CAST(ft_rate AS DOUBLE) AS retention, code_3 AS degrees, CAST(gap_r AS DOUBLE) AS gap_r
+  CAST(ft_rate AS DOUBLE) AS retention, code_3 AS degrees, CAST(gap_r AS DOUBLE) AS gap_r,
+  dense_rank() OVER (ORDER BY year) - 1 AS year_number, count(*) OVER () AS published
 FROM fact WHERE year BETWEEN 1996 AND 1999""",
     ),
 }

@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 from cohortbench.functions import codes, display, rates
 from cohortbench.operators import datasets, entities, quality
 from cohortbench.operators.combine import key_spine
+from cohortbench.operators.ranking import numbered
 from cohortbench.plans import orderbook as ob
 from cohortbench.plans import surveyed
 from cohortbench.plans import vocabulary as v
 from cohortbench.session import scratch_path
 from cohortbench.sinks import exports
-from cohortbench.sources import delimited, headers, precedence, warehouse
+from cohortbench.sources import delimited, headers, precedence, records, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ob.KEYS
@@ -141,11 +142,21 @@ def mixed_encoding_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.typed_columns(text, declared).toDF("doc_id", "lang", "source", "text")
 
 
+def multiline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents out as files with line breaks and quotes in their values, cut into records by many tasks."""
+    rows = ob.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    path = scratch_path(spark, "records-csv")
+    exports.write_csv(rows, path)
+    declared = {"DOC_ID": "bigint", "LANG": "string", "SOURCE": "string", "N_CHARS": "bigint", "TEXT": "string"}
+    text = delimited.typed_columns(records.read_records(spark, path), declared)
+    return text.toDF("doc_id", "lang", "source", "n_chars", "text")
+
+
 def window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Named columns of the fact for a window of years, in (year, name) order."""
+    """Named columns of the fact for a window of years, with each row's place in (year, name) order."""
     columns = ["entity_name", "year", "overall_rate", "entering_size"]
     fact = ob.fact(spark, sf_dir, window=(1996, 1999))
-    return published(warehouse.mart_window(fact, columns, 1996, 1999, name="entity_name"))
+    return numbered(published(warehouse.mart_window(fact, columns, 1996, 1999, name="entity_name")))
 
 
 # --- projections, decodes, filters ----------------------------------------------
@@ -395,7 +406,7 @@ OVERVIEW_COLUMNS = {
 
 def overview_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = datasets.renamed(newest(spark, sf_dir), OVERVIEW_COLUMNS)
-    return published(datasets.ranked_table(shown, "entity", "graduation"))
+    return numbered(published(datasets.ranked_table(shown, "entity", "graduation")))
 
 
 def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,12 +422,12 @@ def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranked_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(datasets.ranked_bars(newest(spark, sf_dir), "entity_name", "grad_rate"))
+    return numbered(published(datasets.ranked_bars(newest(spark, sf_dir), "entity_name", "grad_rate")))
 
 
 def metric_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = ["grad_rate", "ft_rate", "code_3", "total_units"]
-    return published(datasets.trend(ob.fact(spark, sf_dir), "entity_name", metrics))
+    return numbered(published(datasets.trend(ob.fact(spark, sf_dir), "entity_name", metrics)))
 
 
 def year_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,10 +470,10 @@ def equity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct names with any outcome that hold the term."""
+    """Distinct names with any outcome that hold the term, numbered in name order."""
     keys = ob.orders(spark, sf_dir).select("entity_id").distinct()
     named = ob.entity_names(spark, sf_dir).join(keys, "entity_id", "left_semi")
-    return entities.search_names(named, "R#00000001", "entity_name")
+    return numbered(entities.search_names(named, "R#00000001", "entity_name"))
 
 
 def entity_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -603,7 +614,7 @@ def thin_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(quality.load_summary(load_audit(spark, sf_dir)))
+    return numbered(published(quality.load_summary(load_audit(spark, sf_dir))))
 
 
 def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -655,7 +666,7 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chart records of a window written as JSON lines and parsed back."""
+    """Chart records of a window written as JSON lines, parsed back beside the years file."""
     columns = {
         "entity_name": "entity",
         "year": "year",
@@ -668,20 +679,20 @@ def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = ob.fact(spark, sf_dir).select(*columns)
     exports.write_yearly(fact, f"{root}/fact", rebalance=True)
     mart = spark.read.parquet(f"{root}/fact")
-    path = f"{root}/records.json"
-    exports.write_json(exports.chart_records(mart, 1996, 1999, columns), path)
-    return published(
-        spark.read.schema(
-            "entity string, year int, grad_rate double, retention double, "
-            "degrees bigint, gap_r double"
-        ).json(path)
-    )
+    exports.publish_records(mart, f"{root}/out", 1996, 1999, columns)
+    records_back = spark.read.schema(
+        "entity string, year int, grad_rate double, retention double, degrees bigint, gap_r double"
+    ).json(f"{root}/out/records")
+    years = spark.read.schema("years array<int>, records bigint").json(f"{root}/out/years")
+    listed = years.select(F.posexplode("years").alias("year_number", "year"), F.col("records").alias("published"))
+    return published(records_back.join(listed, "year", "left"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        raw_csv_clean_read, yearly_stamp_union, source_precedence, mixed_encoding_read, window_read,
+        raw_csv_clean_read, yearly_stamp_union, source_precedence, mixed_encoding_read,
+        multiline_records, window_read,
         staged_orders, decode_codes, bucket_codes, grand_total_filter,
         qualified_entities, latest_year_rows, fact_restricted,
         coded_sums, credential_shares, preferred_pivot, outcome_rates, gap_severity,

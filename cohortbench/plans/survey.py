@@ -713,19 +713,18 @@ def register(marts: Mapping[str, DataFrame]) -> None:
 
 def mart_checks(marts: Mapping[str, DataFrame], names: MartNames = MartNames()) -> DataFrame:
     """The data tests declared for the marts, one row each."""
-    dim, fact = marts[names.dim], marts[names.fact]
-    checks = [
-        quality.unique_summary("dim_unique", dim, [KEY]),
-        quality.not_null_summary("dim_id_not_null", dim, KEY),
-        quality.not_null_summary("dim_name_not_null", dim, "institution_name"),
-        quality.not_null_summary("fact_id_not_null", fact, KEY),
-        quality.relationship_summary("fact_in_dim", fact, KEY, dim, KEY),
-        quality.range_summary("fact_graduation_rate", fact, "graduation_rate_150", 0, 100),
-        quality.unique_summary("fact_key_unique", fact, KEYS),
-        quality.not_null_summary("peers_id_not_null", marts[names.peers], KEY),
-        quality.not_null_summary("equity_id_not_null", marts[names.equity], KEY),
-    ]
-    return quality.all_checks(checks)
+    dim, fact = names.dim, names.fact
+    return quality.run_checks(marts, [
+        quality.Unique("dim_unique", dim, (KEY,)),
+        quality.NotNull("dim_id_not_null", dim, KEY),
+        quality.NotNull("dim_name_not_null", dim, "institution_name"),
+        quality.NotNull("fact_id_not_null", fact, KEY),
+        quality.Related("fact_in_dim", fact, KEY, dim, KEY),
+        quality.InRange("fact_graduation_rate", fact, "graduation_rate_150", 0, 100),
+        quality.Unique("fact_key_unique", fact, tuple(KEYS)),
+        quality.NotNull("peers_id_not_null", names.peers, KEY),
+        quality.NotNull("equity_id_not_null", names.equity, KEY),
+    ])
 
 
 def directory_checks(landed_directory: DataFrame, years: Iterable[int]) -> DataFrame:

@@ -151,6 +151,33 @@ def json_records(df: DataFrame, column: str = "record") -> DataFrame:
     return df.select(F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias(column))
 
 
+def publish_records(
+    fact: DataFrame,
+    outdir: str,
+    first: int,
+    last: int,
+    columns: Mapping[str, str] = CHART_COLUMNS,
+    year: str = "year",
+) -> list[int]:
+    """Chart records to outdir/records, and beside them outdir/years: their years, ascending, and their number.
+
+    The years ride on the write of the records, so the fact is read once. The years file comes last: records
+    without one are a publication that did not end. Nothing to publish is refused before anything is overwritten.
+    """
+    rows = require_rows(chart_records(fact, first, last, columns, year), f"nothing to publish at {outdir}")
+    seen, key = Observation(), columns[year]
+    counted = rows.observe(
+        seen, F.count(F.lit(1)).alias("records"), F.array_sort(F.collect_set(key)).alias("years")
+    )
+    json_records(counted).write.mode("overwrite").text(f"{outdir}/records")
+    found = seen.get
+    about = fact.sparkSession.createDataFrame(
+        [(list(found["years"]), found["records"])], "years array<int>, records bigint"
+    )
+    about.coalesce(1).write.mode("overwrite").json(f"{outdir}/years")
+    return list(found["years"])
+
+
 def published_years(df: DataFrame, year: str = "year") -> list[int]:
     """The years of the records, ascending, for the file that goes beside them."""
     found = df.where(F.col(year).isNotNull()).select(F.col(year).cast("int")).distinct()
