@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from cohortbench.plans import vocabulary as v
 from cohortbench.plans.oracles import (
     LINE_ROWS,
@@ -13,12 +15,11 @@ from cohortbench.plans.oracles import (
     pct,
     with_ctes,
 )
-from cohortbench.plans.surveyed import FAMILIES, SKIPPED
+from cohortbench.plans.surveyed import FAMILIES
 
 
 def family(name: str) -> str:
-    kept = f" WHERE year % 3 <> {SKIPPED[name]}" if name in SKIPPED else ""
-    return f"{name}_all AS (SELECT * FROM ({FAMILIES[name]}){kept})"
+    return f"{name}_all AS (SELECT * FROM ({FAMILIES[name]}))"
 
 
 def landed(name: str) -> str:
@@ -177,6 +178,30 @@ AUDIT = " UNION ALL ".join(
     for name in FAMILIES
 )
 
+SQL_TYPES = {"int": "INTEGER", "string": "VARCHAR"}
+
+
+def staged(name: str) -> str:
+    """All staged columns of a family, as text in the order of their names; those its files lack are null."""
+    published = set(re.findall(r"AS (\w+)", FAMILIES[name]))
+    cells, codes = {"year": "CAST(year AS VARCHAR)"}, {}
+    for source, (column, kind) in v.STAGED[name].items():
+        codes[column] = source if source in published else "CAST(NULL AS INTEGER)"
+        value = source if source in published else "NULL"
+        cells[column] = f"CAST(CAST({value} AS {SQL_TYPES.get(kind, kind)}) AS VARCHAR)"
+    for label, column in v.STAGED_DECODES[name].items():
+        cells[label] = case_of(codes[column], *v.DECODES[label])
+    if name == "hd":
+        cells["locale_type"] = bucket_of("LOCALE", v.LOCALE_TYPES, v.UNKNOWN)
+        cells["locale_size"] = bucket_of("LOCALE", v.LOCALE_SIZES, v.UNKNOWN)
+    ordered = [cells[c] for c in sorted(cells)]
+    filled = " + ".join(f"({c} IS NOT NULL)::BIGINT" for c in ordered)
+    text = ", ".join(f"coalesce({c}, '~')" for c in ordered)
+    rows = f"{name} WHERE MAJORNUM = 1" if name == "c_a" else name
+    return (f"SELECT UNITID AS unitid, CAST(year AS BIGINT) AS year, '{name}' AS family, "
+            f"{filled} AS filled, sha256(concat_ws('|', {text})) AS digest FROM {rows}")
+
+
 ORACLES: dict[str, str] = {
     "survey_dim": with_ctes(
         *MARTS,
@@ -247,19 +272,6 @@ FROM (SELECT DISTINCT unitid, institution_name FROM fact
 CROSS JOIN (SELECT DISTINCT year FROM fact WHERE graduation_rate_150 IS NOT NULL) y
 LEFT JOIN fact f ON f.unitid = n.unitid AND f.year = y.year""",
     ),
-    "survey_staged": with_ctes(
-        *LANDED,
-        select=f"""SELECT UNITID AS unitid, CAST(year AS BIGINT) AS year, 'gr' AS family, CAST(GRTYPE AS BIGINT) AS code,
-  {case_of('GRTYPE', v.COHORT_TYPES, 'Other cohort type')} AS label,
-  {doubles('GRTOTLT').replace('AS GRTOTLT', 'AS total')}, CAST(GRTOTLM AS DOUBLE) AS part FROM gr
-UNION ALL SELECT UNITID, CAST(year AS BIGINT), 'c_a', AWLEVEL, {case_of('AWLEVEL', v.AWARD_LEVELS, v.UNKNOWN)},
-  CAST(CTOTALT AS DOUBLE), CAST(CHISPT AS DOUBLE) FROM c_a WHERE MAJORNUM = 1
-UNION ALL SELECT UNITID, CAST(year AS BIGINT), 'effy', EFFYALEV,
-  {case_of('EFFYALEV', v.STUDENT_LEVELS, 'Other')}, CAST(EFYTOTLT AS DOUBLE), CAST(EFYWHITT AS DOUBLE) FROM effy
-UNION ALL SELECT UNITID, CAST(year AS BIGINT), 'sfa', NULL, NULL, NULL, CAST(UPGRNTP AS DOUBLE) FROM sfa
-UNION ALL SELECT UNITID, CAST(year AS BIGINT), 'ef_d', NULL, NULL, CAST(UGENTERN AS DOUBLE),
-  CAST(RET_PCF AS DOUBLE) FROM ef_d
-UNION ALL SELECT UNITID, CAST(year AS BIGINT), 'hd', SECTOR, {case_of('SECTOR', v.SECTORS, v.UNKNOWN)},
-  CAST(LOCALE AS DOUBLE), CAST(INSTSIZE AS DOUBLE) FROM hd""",
-    ),
+    "survey_staged": with_ctes(*LANDED, select=" UNION ALL ".join(staged(name) for name in FAMILIES)),
 }
+ORACLES["survey_refresh"] = ORACLES["survey_fact"]

@@ -15,6 +15,8 @@ from cohortbench.sources.delimited import Catalogue, unite
 
 # One relation per family in SQL that Spark and DuckDB read alike: the colleges' answers
 # before they are written as text. order_rows and line_rows are those of the order book.
+# Small answers are not published (awards without returned or accepted lines, cohorts under
+# ten, intakes of a single urgent order), each family's own way: no family's keys hold another's.
 FAMILIES = {
     "hd": """
 SELECT y.year, c_custkey AS UNITID, c_name AS INSTNM, n_name AS CITY,
@@ -41,7 +43,8 @@ SELECT year, entity_id AS UNITID, CASE WHEN status = 'F' THEN '99' ELSE '52.0101
   sum(n) FILTER (WHERE code <= 3) AS CTOTALM, sum(n) FILTER (WHERE code > 3) AS CTOTALW,
   sum(n) FILTER (WHERE grp = 'A') AS CHISPT, sum(n) FILTER (WHERE grp = 'R') AS CBKAAT,
   sum(n) FILTER (WHERE grp = 'N') AS CWHITT
-FROM line_rows GROUP BY year, entity_id, 3, 4, 5""",
+FROM line_rows GROUP BY year, entity_id, 3, 4, 5
+HAVING count(*) FILTER (WHERE grp <> 'N') > 0""",
     "gr": """
 SELECT year, entity_id AS UNITID,
   CASE code WHEN 1 THEN 29 WHEN 2 THEN 30 WHEN 3 THEN 33 WHEN 4 THEN 2 WHEN 5 THEN 3
@@ -49,7 +52,7 @@ SELECT year, entity_id AS UNITID,
   max(n) AS GRTOTLT, max(n) FILTER (WHERE status = 'F') AS GRTOTLM,
   max(n) FILTER (WHERE status = 'O') AS GRTOTLW, max(n) FILTER (WHERE grp = 'A') AS GRHISPT,
   max(n) FILTER (WHERE grp = 'R') AS GRBKAAT, max(n) FILTER (WHERE grp = 'N') AS GRWHITT
-FROM line_rows GROUP BY year, entity_id, 3""",
+FROM line_rows GROUP BY year, entity_id, 3 HAVING max(n) >= 10""",
     "ef_d": """
 SELECT year, entity_id AS UNITID, CASE WHEN entity_id % 6 <> 0 THEN entity_id % 101 END AS RET_PCF,
   CASE WHEN entity_id % 5 <> 0 THEN entity_id % 89 END AS RET_PCP, 5 + entity_id % 30 AS STUFACR,
@@ -57,12 +60,10 @@ SELECT year, entity_id AS UNITID, CASE WHEN entity_id % 6 <> 0 THEN entity_id %
   count(*) FILTER (WHERE urgent AND o_orderstatus = 'F') AS RET_NMF,
   NULLIF(count(*) FILTER (WHERE NOT urgent), 0) AS RRPTCTA,
   count(*) FILTER (WHERE NOT urgent AND o_orderstatus = 'F') AS RET_NMP
-FROM order_rows GROUP BY year, entity_id""",
+FROM order_rows GROUP BY year, entity_id HAVING count(*) > 1 OR count(*) FILTER (WHERE urgent) = 0""",
 }
 
-# Years in which a family is not published, as a remainder by three: completions and
-# cohorts skip different years, so that neither's keys hold the other's.
-SKIPPED = {"c_a": 0, "gr": 1, "ef_d": 2}
+TEMPLATE = "{family}/year={year}"
 
 
 def answers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -81,10 +82,7 @@ def answers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         for name in tables:
             marked = marked.replace(f" {name}", f" {{{name}}}")
         used = {n: df for n, df in tables.items() if f"{{{n}}}" in marked}
-        rows = spark.sql(marked, **used)
-        if family in SKIPPED:
-            rows = rows.where(F.col("year") % 3 != SKIPPED[family])
-        out[family] = rows
+        out[family] = spark.sql(marked, **used)
     return out
 
 
@@ -107,7 +105,7 @@ def build(spark: SparkSession, sf_dir: str) -> Built:
     years = orderbook.order_years(spark, sf_dir)
     for family, rows in answers(spark, sf_dir).items():
         write_files(rows, f"{root}/raw/{family}")
-    catalogue = Catalogue(f"{root}/raw", {f: years for f in FAMILIES}, "{family}/year={year}")
+    catalogue = Catalogue(f"{root}/raw", {f: years for f in FAMILIES}, TEMPLATE)
     audit = survey.land(spark, catalogue, f"{root}/landed")
     return root, audit, survey.write_marts(spark, f"{root}/landed", f"{root}/marts")
 
@@ -152,33 +150,44 @@ def grid(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFr
     return dashboard.metric_tab(rows, "graduation_rate_150", years, 1)["bars"]
 
 
-# Of each staged family: code, its label, and two of its numbers.
-STAGED_SAMPLE = {
-    "gr": ("cohort_type", "cohort_type_description", "total", "total_men"),
-    "c_a": ("award_level", "award_level_name", "total_completions", "hispanic_total"),
-    "effy": ("student_level", "student_level_name", "total_enrollment", "white_total"),
-    "sfa": (None, None, None, "all_ug_pell_recipients_percent"),
-    "ef_d": (None, None, "total_entering_undergrads", "full_time_retention_rate"),
-    "hd": ("sector", "sector_name", "locale", "institution_size_category"),
-}
-
-
 def staged(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFrame:
-    """Code, label and two numbers of every staged row of every family."""
+    """Every staged row of every family: its key, how many of its columns hold a value, and a digest of them all."""
     root, _, _ = built or build(spark, sf_dir)
-    types = {"code": "bigint", "label": "string", "total": "double", "part": "double"}
     frames = []
-    for family, columns in STAGED_SAMPLE.items():
+    for family in FAMILIES:
         rows = survey.staged_family(spark, f"{root}/landed", family)
-        cells = [
-            (F.col(c) if c else F.lit(None)).cast(t).alias(name)
-            for c, (name, t) in zip(columns, types.items(), strict=True)
-        ]
-        frames.append(rows.select("unitid", "year", F.lit(family).alias("family"), *cells))
+        cells = [F.col(c).cast("string") for c in sorted(rows.columns)]
+        filled = sum((c.isNotNull().cast("int") for c in cells), F.lit(0))
+        text = F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in cells])
+        frames.append(rows.select(
+            "unitid", "year", F.lit(family).alias("family"), filled.alias("filled"),
+            F.sha2(text.cast("binary"), 256).alias("digest"),
+        ))
     return unite(frames)
 
 
+def refreshed(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFrame:
+    """The fact after a correction: built from awards whose newest year is wrong, then brought up to the right ones.
+
+    The second landing brings that year of one family, and only it is scanned again.
+    """
+    root = scratch_path(spark, "survey")
+    years = orderbook.order_years(spark, sf_dir)
+    for family, rows in answers(spark, sf_dir).items():
+        write_files(rows, f"{root}/raw/{family}")
+        if family == "c_a":
+            wrong = F.when(F.col("year") == max(years), F.lit(1)).otherwise(F.col("CTOTALT"))
+            write_files(rows.withColumn("CTOTALT", wrong), f"{root}/draft/{family}")
+    others = Catalogue(f"{root}/raw", {f: years for f in FAMILIES if f != "c_a"}, TEMPLATE)
+    survey.land(spark, others, f"{root}/landed")
+    survey.land(spark, Catalogue(f"{root}/draft", {"c_a": years}, TEMPLATE), f"{root}/landed")
+    survey.write_marts(spark, f"{root}/landed", f"{root}/marts")
+    survey.land(spark, Catalogue(f"{root}/raw", {"c_a": [max(years)]}, TEMPLATE), f"{root}/landed")
+    return survey.write_marts(spark, f"{root}/landed", f"{root}/marts")["outcome_fact"]
+
+
 QUERIES = {
     "survey_dim": dim, "survey_fact": fact, "survey_peers": peers, "survey_equity": equity,
     "survey_audit": audit, "survey_grid": grid, "survey_staged": staged,
+    "survey_refresh": refreshed,
 }
