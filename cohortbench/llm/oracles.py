@@ -52,10 +52,12 @@ b AS (SELECT page_id, host, path, rule, {listed} AS listed,
         CASE WHEN host = '' THEN []::VARCHAR[] ELSE list_sort(list_distinct({tokens})) END AS tokens FROM r),
 m AS (SELECT doc_id AS page_id, bool_or(quality = 0 OR toxic = 1) AS marked FROM labels
       WHERE doc_id IS NOT NULL GROUP BY doc_id),
-k AS (SELECT tokens, coalesce(listed = '{BLOCK}', marked) AS block FROM b LEFT JOIN m USING (page_id)),
+k AS (SELECT tokens, marked AS block FROM b JOIN m USING (page_id)),
 g AS (SELECT row_number() OVER () AS i, tokens, count(*) AS n, count(*) FILTER (WHERE block) AS bad
       FROM k WHERE block IS NOT NULL AND len(tokens) > 0 GROUP BY tokens),
-e AS (SELECT i, unnest(tokens) AS t, n, bad FROM g),
+o AS (SELECT t, list(i ORDER BY i) AS places FROM (SELECT i, unnest(tokens) AS t FROM g) GROUP BY t),
+q AS (SELECT t, min(t) OVER (PARTITION BY places) AS item FROM o),
+e AS (SELECT DISTINCT i, item AS t, n, bad FROM (SELECT i, unnest(tokens) AS t, n, bad FROM g) JOIN q USING (t)),
 s AS (
   SELECT [t] AS needs, n, bad FROM e
   UNION ALL SELECT [x.t, y.t], x.n, x.bad FROM e x JOIN e y ON x.i = y.i AND x.t < y.t
@@ -67,7 +69,9 @@ c AS (SELECT needs, sum(bad)::DOUBLE / sum(n)::DOUBLE AS confidence, sum(bad)::D
 f AS (SELECT *, array_to_string(needs, ' ') AS text FROM c WHERE len(needs) = 1 OR NOT EXISTS (
         SELECT 1 FROM c o WHERE len(o.needs) = 1 AND list_contains(c.needs, o.needs[1]) AND o.confidence >= c.confidence)),
 a AS (SELECT tokens, arg_max(text, (confidence, support, text)) AS mined, max(confidence) AS confidence
-      FROM (SELECT DISTINCT tokens FROM b WHERE listed IS NULL) JOIN f ON list_has_all(tokens, needs) GROUP BY tokens)
+      FROM (SELECT tokens, list(DISTINCT item) AS items
+            FROM (SELECT DISTINCT tokens, unnest(tokens) AS t FROM b WHERE listed IS NULL) JOIN q USING (t) GROUP BY tokens)
+      JOIN f ON list_has_all(items, needs) GROUP BY tokens)
 SELECT page_id, host, path, rule, coalesce(listed, CASE WHEN mined IS NOT NULL THEN '{BLOCK}' ELSE 'allow' END) AS verdict,
   CASE WHEN listed IS NULL THEN mined END AS mined, CASE WHEN listed IS NULL THEN confidence END AS confidence
 FROM b LEFT JOIN a USING (tokens)

@@ -7,9 +7,10 @@ filed under its rarest token, and only URLs with that token are held against the
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +39,15 @@ class Rule:
 
 @dataclass(frozen=True)
 class Mining:
-    """Bounds of the mined rules; min_support is a share of the labelled URLs."""
+    """Bounds of the mined rules; min_support is a share of the labelled URLs.
+
+    widest: items of a labelled URL up to which FP-growth may list all its frequent sets.
+    """
 
     min_support: float = 0.01
     min_confidence: float = 0.8
     max_tokens: int = 3
+    widest: int = 14
 
 
 def host_of(url: Column) -> Column:
@@ -93,41 +98,89 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     )))
 
 
+def token_classes(labelled: DataFrame) -> DataFrame:
+    """token, item: tokens that occur in exactly the same rows of ``labelled`` (tokens) are one item, the least of them.
+
+    A template of many query keys is one item so, and not all combinations of its keys. Rows are compared
+    by 128 bits of hashes added up over them.
+    """
+    placed = labelled.select(F.monotonically_increasing_id().alias("row"), "tokens")
+    each = placed.select("row", F.explode("tokens").alias("token"))
+    first, second = F.xxhash64("row"), F.xxhash64("row", F.lit("second"))
+    seen = each.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(first).alias("h1"), F.bit_xor(second).alias("h2"))
+    items = seen.groupBy("n", "h1", "h2").agg(F.min("token").alias("item"))
+    return seen.join(items, ["n", "h1", "h2"]).select("token", "item")
+
+
+def as_items(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (key, tokens) with items: the sorted items of their tokens; tokens of no class have none."""
+    each = rows.select("key", F.explode("tokens").alias("token")).join(classes, "token")
+    items = each.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return rows.join(items, "key", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+
+
+def frequent_sets(rows: DataFrame, least: int, longest: int, widest: int) -> DataFrame:
+    """items, freq: sorted sets of items in at least ``least`` rows (items), up to ``longest`` items where sets may grow long.
+
+    FP-growth lists every frequent set, up to two to the power of a row's items, and has no bound on their
+    length. Where rows have more than ``widest`` items, Spark's other pattern growth, which has one, mines
+    the same sets as sequences of a single step.
+    """
+    size = rows.agg(F.count("*").alias("n"), F.max(F.size("items")).alias("widest")).first()
+    if size["n"] < least:
+        return rows.sparkSession.createDataFrame([], "items array<string>, freq long")
+    support = (least - 0.5) / size["n"]
+    if size["widest"] <= widest:
+        return FPGrowth(itemsCol="items", minSupport=support).fit(rows.select("items")).freqItemsets.select(
+            F.array_sort("items").alias("items"), "freq")
+    steps = rows.select(F.array("items").alias("sequence"))
+    found = PrefixSpan(minSupport=support, maxPatternLength=longest, sequenceCol="sequence").findFrequentSequentialPatterns(steps)
+    return found.where(F.size("sequence") == 1).select(F.array_sort(F.col("sequence")[0]).alias("items"), "freq")
+
+
 def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
-    """rule_id, tokens, confidence, support of the kept rules of ``labelled`` (tokens, block).
+    """rule_id, tokens, rarest, confidence, support of the kept rules of ``labelled`` (tokens, block).
 
-    A rule goes if one of its parts alone is at least as confident. No labelled rows or no label
-    ``block`` gives no rules.
+    A rule goes if one of its parts alone is at least as confident. Tokens that are not frequent together
+    with the label can be in no rule and are left out first. No labelled rows or no label ``block`` gives
+    no rules; rows without tokens don't count; repeated rows do.
     """
-    items = labelled.where(F.size("tokens") > 0).select(
-        F.when(F.col("block"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items"))
     spark = labelled.sparkSession
     shape = "rule_id long, tokens array<string>, rarest string, confidence double, support double"
-    if items.isEmpty():
+    rows = labelled.where(F.size("tokens") > 0).select(F.monotonically_increasing_id().alias("key"), "tokens", "block")
+    rows = settled(rows)
+    n = rows.count()
+    least = max(1, math.ceil(mining.min_support * n))
+    blamed = rows.where("block").select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("bad"))
+    kept = blamed.where(F.col("bad") >= least).select("token", F.col("token").alias("item"))
+    items = as_items(rows, kept).select(F.when(
+        F.col("block"), F.concat("items", F.array(F.lit(LABEL)))).otherwise(F.col("items")).alias("items"))
+    if not n:
         return spark.createDataFrame([], shape)
-    model = FPGrowth(itemsCol="items", minSupport=mining.min_support, minConfidence=mining.min_confidence).fit(items)
-    rules = model.associationRules.where(
-        (F.element_at("consequent", 1) == LABEL) & (F.size("antecedent") <= mining.max_tokens)
-    ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    rules = rules.withColumn("rule_id", F.xxhash64("tokens"))
+    sets = settled(frequent_sets(items.where(F.size("items") > 0), least, mining.max_tokens + 1, mining.widest))
+    whole = sets.where(~F.array_contains("items", LABEL)).select(F.col("items").alias("tokens"), "freq")
+    bad = sets.where(F.array_contains("items", LABEL)).select(F.array_remove("items", LABEL).alias("tokens"), F.col("freq").alias("bad"))
+    rules = bad.where(F.size("tokens").between(1, mining.max_tokens)).join(whole, "tokens").select(
+        "tokens", (F.col("bad") / F.col("freq")).alias("confidence"), (F.col("bad") / F.lit(n)).alias("support"))
+    rules = rules.where(F.col("confidence") >= mining.min_confidence).withColumn("rule_id", F.xxhash64("tokens"))
     parts = rules.select("rule_id", F.col("confidence").alias("whole"), F.explode("tokens").alias("token"))
     single = rules.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"), "confidence")
     shadowed = parts.join(single, "token").where("confidence >= whole").join(
         rules.where(F.size("tokens") > 1).select("rule_id"), "rule_id", "left_semi").select("rule_id").distinct()
-    counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    counts = whole.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"), "freq")
     rarest = parts.join(counts, "token").groupBy("rule_id").agg(F.min(F.struct("freq", "token")).alias("r"))
     return rules.join(shadowed, "rule_id", "left_anti").join(rarest, "rule_id").select(
         "rule_id", "tokens", F.col("r.token").alias("rarest"), "confidence", "support")
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """tokens, mined (text of the most confident rule that fits) of the token sets that a rule fits."""
+    """key, mined (text of the most confident rule that fits), confidence of the sets (key, tokens) that a rule fits."""
     filed = rules.select("rarest", F.col("tokens").alias("needs"), "confidence", "support")
-    asked = token_sets.select("tokens", F.explode("tokens").alias("rarest"))
+    asked = token_sets.select("key", "tokens", F.explode("tokens").alias("rarest"))
     hits = asked.join(filed, "rarest").where(F.size(F.array_except("needs", "tokens")) == 0)
-    best = hits.groupBy("tokens").agg(
+    best = hits.groupBy("key").agg(
         F.max(F.struct("confidence", "support", F.array_join("needs", " ").alias("text"))).alias("best"))
-    return best.select("tokens", F.col("best.text").alias("mined"), F.col("best.confidence").alias("confidence"))
+    return best.select("key", F.col("best.text").alias("mined"), F.col("best.confidence").alias("confidence"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None,
@@ -135,9 +188,11 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None,
     """page_id, host, path, rule, verdict, mined, confidence of every page.
 
     The longest listed rule decides; else a mined rule blocks; else the page is allowed. Rules are
-    mined from the pages that the list decides and from those that ``labels`` (page_id, block) marks;
-    the list goes first, and a page_id marked both ways is blocked. An absent URL, or one without
-    ``://``, has an empty host and path, no tokens, and is allowed. Repeated rows are judged alike.
+    mined from the pages that ``labels`` (page_id, block) marks, a page_id marked both ways counting as
+    blocked; without a table of labels the pages that the list decides are the labelled ones. Tokens that
+    the labelled pages always show together are one item: a page has it by any of them. An absent URL, or
+    one without ``://``, has an empty host and path, no tokens, and is allowed. Long URLs have all their
+    tokens. Repeated rows are judged alike. An empty table gives an empty result.
     """
     url = F.col("url").cast("string")
     host, path = host_of(url), path_of(url)
@@ -146,18 +201,17 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None,
     tokens = F.when(F.col("host") != "", url_tokens(F.col("url"), F.col("host"), F.col("path")))
     base = base.select("page_id", "host", "path", rule.alias("rule"), listed.alias("listed"),
                        F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
-    marked = base.select("page_id", "listed", "tokens")
     if labels is None:
-        marked = marked.withColumn("marked", F.lit(None).cast("boolean"))
+        marked = base.withColumn("block", F.col("listed") == BLOCK)
     else:
-        one = labels.where("page_id is not null").groupBy("page_id").agg(F.max("block").alias("marked"))
-        marked = marked.join(one, "page_id", "left")
-    block = F.coalesce(F.col("listed") == BLOCK, F.col("marked"))
-    labelled = marked.select("tokens", block.alias("block")).where("block is not null")
-    mined = settled(mine(labelled, mining))
-    asked = base.where("listed is null").groupBy("tokens").agg(F.lit(1).alias("seen"))
-    found = match(asked, mined)
-    return base.join(found, "tokens", "left").select(
+        one = labels.where("page_id is not null").groupBy("page_id").agg(F.max("block").alias("block"))
+        marked = base.join(one, "page_id")
+    labelled = settled(marked.where("block is not null").select(F.monotonically_increasing_id().alias("key"), "tokens", "block"))
+    classes = settled(token_classes(labelled))
+    mined = settled(mine(as_items(labelled, classes).select(F.col("items").alias("tokens"), "block"), mining))
+    asked = base.where("listed is null").select(F.col("tokens").alias("key"), "tokens").distinct()
+    found = match(as_items(asked, classes).select("key", F.col("items").alias("tokens")), mined)
+    return base.join(found.withColumnRenamed("key", "tokens"), "tokens", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("listed", F.when(F.col("mined").isNotNull(), BLOCK).otherwise(ALLOW)).alias("verdict"),
         F.when(F.col("listed").isNull(), F.col("mined")).alias("mined"),

@@ -1,6 +1,8 @@
 """Listed rules case by case, mined rules against counting."""
 
 import itertools
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -57,9 +59,72 @@ def test_mined_rules_against_counting(spark):
 def test_matches_need_all_tokens(spark):
     rules = spark.createDataFrame([(1, ["a", "b"], "a", 0.9, 0.1), (2, ["c"], "c", 0.7, 0.1)],
                                   "rule_id long, tokens array<string>, rarest string, confidence double, support double")
-    sets = spark.createDataFrame([(["a"],), (["a", "b"],), (["a", "b", "c"],), (["c"],), ([],)], "tokens array<string>")
-    got = {tuple(r["tokens"]): r["mined"] for r in url_rules.match(sets, rules).collect()}
-    assert got == {("a", "b"): "a b", ("a", "b", "c"): "a b", ("c",): "c"}
+    sets = spark.createDataFrame([(1, ["a"]), (2, ["a", "b"]), (3, ["a", "b", "c"]), (4, ["c"]), (5, [])], "key long, tokens array<string>")
+    got = {r["key"]: r["mined"] for r in url_rules.match(sets, rules).collect()}
+    assert got == {2: "a b", 3: "a b", 4: "c"}
+
+
+def counted(sets, mining):
+    """Rules by counting every set of up to max_tokens tokens."""
+    every, bad = Counter(), Counter()
+    for tokens, block in sets:
+        for n in range(1, mining.max_tokens + 1):
+            for part in itertools.combinations(sorted(tokens), n):
+                every[part] += 1
+                bad[part] += block
+    kept = {p: bad[p] / every[p] for p in every
+            if bad[p] / every[p] >= mining.min_confidence and bad[p] / len(sets) >= mining.min_support}
+    return {p: round(c, 9) for p, c in kept.items() if len(p) == 1 or not any(kept.get((t,), 0) >= c for t in p)}
+
+
+@pytest.mark.parametrize("widest", [14, 2])
+def test_both_miners_give_what_counting_gives(spark, widest):
+    draw = random.Random(3)
+    sets = [(sorted(t for t in "abcdefgh" if draw.random() < 0.6), draw.random() < 0.7) for _ in range(300)]
+    sets = [(t, b or "a" in t and "d" in t) for t, b in sets if t]
+    mining = url_rules.Mining(min_support=0.05, min_confidence=0.8, max_tokens=3, widest=widest)
+    df = spark.createDataFrame(sets, "tokens array<string>, block boolean")
+    got = {tuple(r["tokens"]): round(r["confidence"], 9) for r in url_rules.mine(df, mining).collect()}
+    assert got == counted(sets, mining) and any(len(t) > 1 for t in got)
+
+
+def test_tokens_of_the_same_rows_are_one_item(spark):
+    rows = [["a", "b", "c"], ["a", "b"], ["c"], ["d"], ["d", "e"], ["a", "b", "e"]]
+    df = spark.createDataFrame([(t,) for t in rows], "tokens array<string>").repartition(3)
+    got = {r["token"]: r["item"] for r in url_rules.token_classes(df).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c", "d": "d", "e": "e"}
+
+
+def test_long_templates_end_in_seconds(spark):
+    """A tenth of the labelled URLs has 40 query keys, always the same ones, another tenth most of 40 others."""
+    draw = random.Random(4)
+    rows, labels = [], []
+    for i in range(600):
+        if i % 10 == 0:
+            url = f"http://h{i}.test/x?" + "&".join(f"fix{chr(97 + k % 26)}{chr(97 + k // 26)}={i}" for k in range(40))
+        elif i % 10 == 1:
+            url = f"http://h{i}.test/x?" + "&".join(f"opt{chr(97 + k % 26)}{chr(97 + k // 26)}={i}" for k in range(40) if draw.random() < 0.9)
+        else:
+            url = f"http://h{i}.test/{'bad' if i % 3 else 'fine'}/{i}"
+        rows.append((i, url))
+        labels.append((i, i % 10 < 2 or i % 3 > 0))
+    rows += [(1000, "http://new.test/x?fixca=1"), (1001, "http://new.test/fine/1"), (1002, "http://new.test/x?" + "y=1&" * 20_000)]
+    start = time.time()
+    got = {r["page_id"]: r for r in url_rules.judge(
+        spark.createDataFrame(rows, "page_id long, url string"), [],
+        spark.createDataFrame(labels, "page_id long, block boolean")).collect()}
+    assert time.time() - start < 60
+    assert len(got) == len(rows) and got[1000]["verdict"] == "block" and got[1001]["verdict"] == "allow"
+    assert all(got[i]["verdict"] == ("block" if block else "allow") for i, block in labels)
+
+
+def test_rules_come_from_the_labels_alone(spark):
+    rows = [(i, f"http://x.net/de/{i}") for i in range(50)] + [(100 + i, f"http://y.test/de/{i}") for i in range(50)]
+    labels = [(100 + i, False) for i in range(25)] + [(i, True) for i in range(3)]
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(
+        spark.createDataFrame(rows, "page_id long, url string"), URL_RULES,
+        spark.createDataFrame(labels, "page_id long, block boolean")).collect()}
+    assert all(got[i] == "block" for i in range(50)) and all(got[100 + i] == "allow" for i in range(50))
 
 
 @pytest.mark.parametrize("labelled", [True, False])
