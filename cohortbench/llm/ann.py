@@ -138,7 +138,8 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = NEAREST, shard_rows: i
     most = lengths.orderBy(F.col("n").desc(), F.col("length").desc()).limit(1).collect()
     length, n = (most[0]["length"], most[0]["n"]) if most else (0, 0)
     shards = max(1, math.ceil(n / shard_rows))
-    rows = rows.where(F.size("vector") == length)
+    # Repeats of one row would all go to one shard.
+    rows = rows.where(F.size("vector") == length).distinct()
     asked = queries.select(F.col("vec_id").cast("long").alias("vec_id"), vector).where(
         F.col("vec_id").isNotNull() & usable(F.col("vector")) & (F.size("vector") == length))
     asked = asked.groupBy("vec_id").agg(F.min("vector").alias("vector"))

@@ -53,7 +53,29 @@ def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out:
     keyed = df.withColumn("__hash", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")))
     leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
     keyed = keyed.withColumn("__bucket", (leading % buckets).cast("int"))
-    return _ranked(df, keyed, group, ["__bucket"], ["__hash", *order], out)
+    # Rows of one order, as with absent or repeated ids, share a hash however many they are.
+    heavy = settled(keyed.groupBy("__bucket", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") > per_task))
+    if heavy.isEmpty():
+        return _ranked(df, keyed, group, ["__bucket"], ["__hash", *order], out)
+    return _ranked(df, _split(keyed, heavy, per_task), group, ["__bucket", "__piece", "__sub"], ["__hash", *order], out)
+
+
+def _split(keyed: DataFrame, heavy: DataFrame, per_task: int) -> DataFrame:
+    """Cuts the buckets that hold heavy hashes: before, between and after them, and each of them by where its rows lie.
+
+    A bucket has few heavy hashes, since each fills a task. The result is settled: its counts and its
+    places are taken separately, and must see the same pieces.
+    """
+    one = F.struct("__hash", F.ceil(F.col("__n") / per_task).alias("n"))
+    lists = heavy.groupBy("__bucket").agg(F.array_sort(F.collect_list(one)).alias("__heavy"))
+    placed = keyed.withColumn("__lies", F.monotonically_increasing_id()).join(lists, "__bucket", "left")
+    before = F.size(F.filter("__heavy", lambda h: h["__hash"] < F.col("__hash")))
+    own = F.filter("__heavy", lambda h: h["__hash"] == F.col("__hash"))
+    parts = F.when(F.size(own) > 0, F.element_at(own, 1)["n"])
+    some = F.col("__heavy").isNotNull()
+    piece = F.when(some, 2 * before + F.when(parts.isNotNull(), 1).otherwise(0)).otherwise(0)
+    sub = F.when(some & parts.isNotNull(), F.pmod(F.xxhash64("__lies"), parts)).otherwise(0)
+    return settled(placed.select("*", piece.alias("__piece"), sub.alias("__sub")).drop("__heavy", "__lies"))
 
 
 def placed_rank(df: DataFrame, group: Sequence[str], part: str, place: str, order: Sequence[str], out: str,

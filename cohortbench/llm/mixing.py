@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortbench.llm.common import as_row, columns_of, global_rank
 
-#: Rows of a block, slots of a period, and the power of a source's rows that is its weight.
+#: Rows of a block, slots of a period at least, and the power of a source's rows that is its weight.
 BLOCK_ROWS = 32
 PERIOD = 1000
 TEMPER = 0.7
@@ -53,8 +53,16 @@ def period_slots(weights: dict[str, float], period: int = PERIOD) -> dict[str, i
     left = period - sum(slots.values())
     for s in sorted(exact, key=lambda s: (slots[s] - exact[s], s))[: max(left, 0)]:
         slots[s] += 1
-    for _ in range(-left):  # sources raised to one slot have taken too many
-        slots[max((s for s in slots if slots[s] > 1), key=lambda s: (slots[s] - exact[s], s))] -= 1
+    # Sources raised to one slot have taken too many: who is most above its share gives one back, again and again.
+    last_first = sorted(slots, reverse=True)
+    over = [(exact[s] - slots[s], i) for i, s in enumerate(last_first) if slots[s] > 1]
+    heapq.heapify(over)
+    for _ in range(-left):
+        _, i = heapq.heappop(over)
+        s = last_first[i]
+        slots[s] -= 1
+        if slots[s] > 1:
+            heapq.heappush(over, (exact[s] - slots[s], i))
     return slots
 
 
@@ -76,7 +84,7 @@ def schedule(slots: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS,
-        period: int | None = PERIOD) -> DataFrame:
+        period: int | None = None) -> DataFrame:
     """Every row of ``docs`` in __row, with source, epoch, block, release, deadline, slot, position, through.
 
     Rows of a source come in a hashed order; a source that has given all its rows starts over (epoch),
@@ -127,6 +135,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
 def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` in mixed order: partition after partition, sorted in each; the period is the fair one."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = mix(docs, weights, period=None).select("__row", "position", F.floor(F.col("through") * parts).cast("int").alias("part"))
+    placed = mix(docs, weights).select("__row", "position", F.floor(F.col("through") * parts).cast("int").alias("part"))
     ordered = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("position")
     return ordered.select(*columns_of(ordered))

@@ -7,7 +7,7 @@ search. Tests hold those against brute force. FP-growth's rules are counted here
 from cohortbench.llm import topk
 from cohortbench.llm.chat import TURNS_PER_PART
 from cohortbench.llm.common import RANK_ROWS
-from cohortbench.llm.mixing import BLOCK_ROWS, PERIOD, TEMPER
+from cohortbench.llm.mixing import BLOCK_ROWS, FAIR_SLOTS, LONGEST_PERIOD, PERIOD, TEMPER
 from cohortbench.llm.packing import BUCKETS, BUDGET, MAX_LENGTH
 from cohortbench.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS
 from cohortbench.llm.resampling import Resampling
@@ -166,7 +166,9 @@ FROM d JOIN s USING (key) CROSS JOIN crc_table
 MIX = f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source FROM documents),
 c AS (SELECT source, count(*) AS n FROM d GROUP BY source),
-e AS (SELECT *, greatest({PERIOD}, 10 * count(*) OVER ()) AS period, n ** {TEMPER} / sum(n ** {TEMPER}) OVER () AS share FROM c),
+a AS (SELECT *, n ** {TEMPER} / sum(n ** {TEMPER}) OVER () AS share, min(n ** {TEMPER}) OVER () / sum(n ** {TEMPER}) OVER () AS low FROM c),
+e AS (SELECT source, n, share, greatest({PERIOD}, 10 * count(*) OVER (), round_even(
+        least({LONGEST_PERIOD}, greatest(1, least({FAIR_SLOTS}, floor({LONGEST_PERIOD} * low))) / low), 0)::BIGINT) AS period FROM a),
 q AS (SELECT *, greatest(1, floor(period * share))::BIGINT AS low, period * share AS exact FROM e),
 z AS (SELECT *, low + (row_number() OVER (ORDER BY low - exact, source) <= period - sum(low) OVER ())::BIGINT AS per,
         row_number() OVER (ORDER BY source) AS s FROM q),

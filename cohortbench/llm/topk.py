@@ -146,7 +146,8 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = NEAREST, scale: float =
     """
     rows = whole_vectors(base, scale)
     length, n = common_length(rows)
-    rows = rows.where(F.size("vector") == length)
+    # Repeats of one row would all go to one cell.
+    rows = settled(rows.where(F.size("vector") == length).distinct())
     asked = whole_vectors(queries, scale).where(F.size("vector") == length)
     asked = asked.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample_rows).toArrow().combine_chunks()
@@ -160,7 +161,7 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = NEAREST, scale: float =
     if not len(pivots):
         pivots = np.zeros((1, length))
     assign, shape = _assigner(pivots)
-    dealt = settled(rows.mapInArrow(assign, shape))
+    dealt = rows.mapInArrow(assign, shape)
     stats = {r.pivot: r for r in dealt.groupBy("pivot").agg(
         F.count("*").alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect()}
     used = sorted(stats)

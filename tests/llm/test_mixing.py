@@ -1,6 +1,7 @@
 """Pfair schedules: windows, deviation, and every row at its place."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -24,6 +25,21 @@ def test_schedule_keeps_within_one_block(seed):
         assert all(abs(had[x] - slots[x] * (t + 1) / period) < 1 for x in slots)
 
 
+def test_slots_of_many_small_sources():
+    """Against the plain rule: the source most above its share gives a slot back."""
+    weights = {"big": 5000.0, "mid": 300.0, **{f"s{i}": 0.001 for i in range(120)}}
+    got = mixing.period_slots(weights, 1300)
+    period, total = 1300, sum(weights.values())
+    exact = {s: period * w / total for s, w in weights.items()}
+    slots = {s: max(1, int(x)) for s, x in exact.items()}
+    while sum(slots.values()) > period:
+        slots[max((s for s in slots if slots[s] > 1), key=lambda s: (slots[s] - exact[s], s))] -= 1
+    assert got == slots and sum(got.values()) == period
+    start = time.time()
+    mixing.period_slots({"big": 1e9, **{f"s{i}": 1.0 for i in range(50_000)}})
+    assert time.time() - start < 10
+
+
 def test_mix(spark):
     rows = [(i, f"t{i}", "hot" if i % 3 else f"s{i % 7}") for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -1,8 +1,11 @@
-"""LPT sharding against one heap, and its promises on several levels of blocks."""
+"""LPT sharding against one heap, and its promises on odd documents."""
 
 import heapq
+import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import pytest
 
 from cohortbench.llm import sharding
 
@@ -20,22 +23,37 @@ def groups_of(n, hot=0):
     return [(f"k{i}", (i * 7919) % 1000 + 1 + hot * (i == 3), i) for i in range(n)]
 
 
-def test_one_block_is_one_heap(spark):
-    groups = groups_of(500)
+@pytest.mark.parametrize("seed", range(8))
+def test_turns_are_those_of_a_heap(seed):
+    draw = random.Random(seed)
+    loads = [draw.choice([1, 2, 3, 7, 50, 50, 50, 1000, draw.randint(1, 60)]) for _ in range(draw.randint(0, 900))]
+    loads += [5000] * (seed % 3)
+    shards = draw.randint(1, 9)
+    histogram = Counter(loads)
+    want = one_heap([(f"{i:05}", load, i) for i, load in enumerate(sorted(loads, reverse=True))], shards)
+    got = []
+    for load, before, turns in sharding.turns_of(list(histogram.items()), shards):
+        assert before == len(got)
+        for j in range(histogram[load]):
+            first, order = [t for t in turns if t[0] <= j][-1]
+            got.append(order[(j - first) % len(order)])
+        assert len(turns) <= shards
+    assert got == [want[f"{i:05}"] for i in range(len(loads))]
+
+
+@pytest.mark.parametrize("n, hot", [(500, 0), (60_000, 10_000_000)])
+def test_any_number_of_groups_is_one_heap(spark, n, hot):
+    groups = groups_of(n, hot)
     df = spark.createDataFrame(groups, "key string, load long, tie long").repartition(7)
     got = {r["key"]: r["shard"] for r in sharding.longest_first(df, 8).collect()}
     assert got == one_heap(groups, 8)
 
 
-def test_blocks_of_blocks_stay_balanced(spark):
-    groups = groups_of(3000, hot=10_000)
-    df = spark.createDataFrame(groups, "key string, load long, tie long")
-    got = {r["key"]: r["shard"] for r in sharding.longest_first(df, 8, block_groups=100).collect()}
-    assert len(got) == 3000
-    loads = defaultdict(int)
-    for key, load, _ in groups:
-        loads[got[key]] += load
-    assert len(loads) == 8 and max(loads.values()) - min(loads.values()) < 0.02 * sum(loads.values()) / 8
+def test_a_third_of_the_groups_of_one_load(spark):
+    groups = [(f"k{i}", 5 if i % 3 == 0 else i % 11 + 1, i // 2) for i in range(9000)]
+    df = spark.createDataFrame(groups, "key string, load long, tie long").repartition(5)
+    got = {r["key"]: r["shard"] for r in sharding.longest_first(df, 8).collect()}
+    assert got == one_heap(groups, 8)
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
