@@ -37,6 +37,29 @@ def qualify_any_year(
     return latest.where(current).join(ids, key, "left_semi")
 
 
+def qualify_in_one_pass(
+    directory: DataFrame,
+    key: str,
+    year: str,
+    newest: Column,
+    qualifies: Column,
+    current: Column,
+    described: list[str],
+) -> DataFrame:
+    """The result of qualify_any_year from one reading of the directory, which must hold a year of an entity once.
+
+    Whether any year qualifies, and the columns of the newest year, are conditional aggregates of one
+    group per entity. Null keys never qualify.
+    """
+    at = F.col(year) == newest
+    found = directory.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.bool_or(qualifies).alias("_qualifies"),
+        F.bool_or(at & current).alias("_current"),
+        *[F.max(F.when(at, F.col(c))).alias(c) for c in [year, *described]],
+    )
+    return found.where("_qualifies and _current").select(key, year, *described)
+
+
 def restrict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Keep rows of the id set; a relation without the key passes whole.
 

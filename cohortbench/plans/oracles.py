@@ -311,6 +311,20 @@ FROM orders""",
     "mixed_encoding_read": """
 SELECT doc_id, lang, source, CASE WHEN trim(text) NOT IN ('', '.', 'NULL') THEN text END AS text
 FROM documents""",
+    "schema_drift": with_ctes(
+        """cells AS (SELECT year(o_orderdate) AS year, o_orderpriority = '1-URGENT' AS urgent,
+    CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders)""",
+        """each AS (SELECT year, count(*) AS n, count(*) FILTER (WHERE urgent) AS urgent,
+    count(*) FILTER (WHERE NOT urgent AND price % 1 = 0) AS whole FROM cells GROUP BY year)""",
+        select="""SELECT 'KEY' AS column_name, year, 'bigint' AS declared, 'bigint' AS observed, 'fits' AS state, n AS row_count,
+  0::BIGINT AS missing, n AS whole, 0::BIGINT AS fractional, 0::BIGINT AS text, 0::BIGINT AS misfits FROM each
+UNION ALL SELECT 'CUSTOMER', year, 'bigint', 'bigint', 'fits', n, 0, n, 0, 0, 0 FROM each
+UNION ALL SELECT 'PRICE', year, 'bigint', CASE WHEN n > urgent + whole THEN 'decimal' WHEN whole > 0 THEN 'bigint' ELSE 'none' END,
+  CASE WHEN n > urgent + whole THEN 'misfits' ELSE 'fits' END, n, urgent, whole, n - urgent - whole, 0, n - urgent - whole FROM each
+UNION ALL SELECT 'STATUS', year, NULL, 'string', 'undeclared', n, 0, 0, 0, n, 0 FROM each
+UNION ALL SELECT 'PRIORITY', year, 'string', 'none', 'absent', n, n, 0, 0, 0, 0 FROM each WHERE year < 1995
+UNION ALL SELECT 'PRIORITY', year, 'string', 'string', 'fits', n, 0, 0, 0, n, 0 FROM each WHERE year >= 1995""",
+    ),
     "multiline_records": """
 SELECT doc_id, lang, source, n_chars, CASE WHEN trim(text) NOT IN ('', '.', 'NULL') THEN text END AS text
 FROM documents""",
@@ -651,3 +665,21 @@ FROM retention CROSS JOIN (VALUES ('csv'), ('parquet')) f(format)""",
 FROM fact WHERE year BETWEEN 1996 AND 1999""",
     ),
 }
+ORACLES["preferred_source"] = ORACLES["source_precedence"]
+ORACLES["search_by_index"] = """
+SELECT entity_name, row_number() OVER (ORDER BY entity_name) AS place
+FROM (SELECT DISTINCT c_name AS entity_name FROM customer WHERE lower(c_name) LIKE '%r#0000001%')"""
+
+
+def _rolled_up(by: list[str]) -> str:
+    """The measures straight from the fact, by one choice of dimensions."""
+    dims = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" if d in by else f"CAST(NULL AS VARCHAR) AS {d}"
+                     for d in ("size_tier", "place_tier", "share_tier", "year"))
+    grouped = f" GROUP BY {', '.join(by)}" if by else ""
+    return f"""SELECT '{','.join(by)}' AS dims, {dims}, count(DISTINCT f.entity_id) AS entities,
+  avg(grad_rate) AS avg_grad_rate, avg(gap_r) AS avg_gap_r, CAST(sum(code_3) AS BIGINT) AS total_code_3
+FROM fact f JOIN dim d ON f.entity_id = d.entity_id{grouped}"""
+
+
+ORACLES["star_cube"] = with_ctes(*FACTS, *DIMS, select=" UNION ALL ".join(_rolled_up(by) for by in (
+    ["size_tier"], ["place_tier", "year"], ["share_tier", "size_tier", "place_tier"], ["year"], [])))

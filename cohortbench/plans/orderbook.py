@@ -79,6 +79,11 @@ def order_years(spark: SparkSession, sf_dir: str) -> list[int]:
     return [] if ends[0] is None else list(range(ends[0], ends[1] + 1))
 
 
+def newest_year(spark: SparkSession, sf_dir: str) -> Column:
+    """The year of the last order, as a scalar subquery."""
+    return table(spark, sf_dir, "orders").select(F.year(F.max("o_orderdate"))).scalar()
+
+
 def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coded counts as read. The count is converted here once, not in each aggregate."""
     return table(spark, sf_dir, "lineitem").select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortbench.functions import codes, display, rates
-from cohortbench.operators import datasets, entities, quality
+from cohortbench.operators import cube, datasets, entities, quality, search
 from cohortbench.operators.combine import key_spine
 from cohortbench.operators.ranking import numbered
 from cohortbench.plans import orderbook as ob
@@ -21,7 +21,7 @@ from cohortbench.plans import surveyed
 from cohortbench.plans import vocabulary as v
 from cohortbench.session import scratch_path
 from cohortbench.sinks import exports
-from cohortbench.sources import delimited, headers, precedence, records, warehouse
+from cohortbench.sources import delimited, drift, headers, precedence, records, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ob.KEYS
@@ -122,10 +122,40 @@ def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("o_totalprice", F.col("o_totalprice") + 1)
         .withColumn("source", F.lit("Orders_RV.csv"))
     )
-    both = base.unionByName(revised).drop("o_orderstatus")
+    releases = [base.drop("o_orderstatus"), revised.drop("o_orderstatus")]
+    return published(precedence.layered(releases, ["o_orderkey"]))
+
+
+def preferred_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two releases in one relation, in which each row names its file."""
+    rows = ob.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    revised = F.array(
+        F.when(F.col("o_orderstatus") != "P", F.struct(F.col("o_totalprice"), F.lit("orders.csv").alias("source"))),
+        F.when(F.col("o_orderstatus") != "O", F.struct((F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("Orders_RV.csv").alias("source"))),
+    )
+    both = rows.select("o_orderkey", F.explode(revised).alias("r")).where("r is not null").select("o_orderkey", "r.*")
     return published(precedence.preferred_rows(both, ["o_orderkey"], "source"))
 
 
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly order files against declared types: counts, observed type and state of every column and year.
+
+    Customers arrive as 12.0, urgent prices as a point, early years have no priority, prices are declared whole.
+    """
+    rows = ob.orders(spark, sf_dir)
+    root = scratch_path(spark, "orders-drift")
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", ".").otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
+    cells = rows.select(
+        "year", F.col("o_orderkey").alias("key"), F.concat(F.col("entity_id").cast("string"), F.lit(".0")).alias("customer"),
+        price.alias("price"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    early, late = f"{root}/early", f"{root}/late"
+    for path, part in ((early, cells.where("year < 1995").drop("priority")), (late, cells.where("year >= 1995"))):
+        part.hint("rebalance", "year").write.partitionBy("year").option("header", True).csv(path)
+    files = {y: f"{early if y < 1995 else late}/year={y}" for y in ob.order_years(spark, sf_dir)}
+    declared = {"KEY": "bigint", "CUSTOMER": "bigint", "PRICE": "bigint", "PRIORITY": "string"}
+    return published(drift.drift({y: delimited.read_text_columns(spark, f) for y, f in files.items()}, declared))
+
+
 def mixed_encoding_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, line breaks and quotes included, from latin-1 and UTF-8 files side by side.
 
@@ -221,10 +251,10 @@ def grand_total_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def directory(spark: SparkSession, sf_dir: str, latest: bool = False) -> DataFrame:
+def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity-year directory: yearly size and top price beside the fixed attributes."""
     yearly = (
-        ob.orders(spark, sf_dir, latest=latest)
+        ob.orders(spark, sf_dir)
         .groupBy(*KEYS)
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
@@ -247,13 +277,14 @@ def qualified_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         | (solvent & codes.name_contains(F.col("entity_name"), ["#00000012", "#00000034", "R#7"]))
     )
     current = in_region & F.col("is_active")
-    kept = entities.qualify_any_year(
+    kept = entities.qualify_in_one_pass(
         directory(spark, sf_dir),
         "entity_id",
         "year",
+        ob.newest_year(spark, sf_dir),
         qualifies,
         current,
-        newest=directory(spark, sf_dir, latest=True),
+        ["entity_name", "segment", "n_orders", "top_price"],
     )
     return published(
         kept.select("entity_id", "entity_name", "year", "segment", "n_orders", "top_price")
@@ -508,6 +539,38 @@ def star_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CUBE = {
+    "entities": cube.Entities(),
+    "avg_grad_rate": cube.Mean("grad_rate", 2),
+    "avg_gap_r": cube.Mean("gap_r", 2),
+    "total_code_3": cube.Total("code_3"),
+}
+CUBE_BY = ["size_tier", "place_tier", "share_tier", "year"]
+CUBE_ASKED = [["size_tier"], ["place_tier", "year"], ["share_tier", "size_tier", "place_tier"], ["year"], []]
+
+
+def star_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several choices of dimensions, each rolled up from one stored cube."""
+    members = ob.peer_attributes(spark, sf_dir).select("entity_id", *ob.PEER_KEYS)
+    path = scratch_path(spark, "cube")
+    built = cube.cells(members, ob.outcomes(spark, sf_dir), "entity_id", CUBE_BY, CUBE)
+    built.write.parquet(path)
+    stored = spark.read.parquet(path)
+    frames = []
+    for by in CUBE_ASKED:
+        found = cube.answer(stored, by, CUBE)
+        dims = [F.col(d).cast("string").alias(d) if d in by else F.lit(None).cast("string").alias(d) for d in CUBE_BY]
+        frames.append(found.select(F.lit(",".join(by)).alias("dims"), *dims, *CUBE))
+    return published(delimited.unite(frames))
+
+
+def search_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that hold a term, found through the posting index written beside them, numbered in name order."""
+    path = scratch_path(spark, "names-index")
+    search.write_index(ob.entity_names(spark, sf_dir), "entity_name", path)
+    return numbered(search.search_index(spark, path, "R#0000001", "entity_name"))
+
+
 # --- quality ----------------------------------------------------------------
 
 
@@ -692,7 +755,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         raw_csv_clean_read, yearly_stamp_union, source_precedence, mixed_encoding_read,
-        multiline_records, window_read,
+        multiline_records, window_read, preferred_source, schema_drift,
         staged_orders, decode_codes, bucket_codes, grand_total_filter,
         qualified_entities, latest_year_rows, fact_restricted,
         coded_sums, credential_shares, preferred_pivot, outcome_rates, gap_severity,
@@ -700,7 +763,7 @@ QUERIES: dict[str, Query] = {
         peer_averages, peer_comparison, equity_report, equity_report_compat,
         overview_cards, equity_cards, overview_table, display_table, ranked_metric, metric_trend,
         year_grid, pivot_change, group_rate_long, gap_scatter, equity_table,
-        entity_search, entity_selection, star_measures,
+        entity_search, entity_selection, star_measures, star_cube, search_by_index,
         dq_unique, dq_not_null, dq_relationships, dq_range, dq_fact_key,
         thin_years, load_summary, guards, export_roundtrip, export_json,
     )

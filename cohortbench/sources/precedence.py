@@ -33,3 +33,17 @@ def preferred_rows(df: DataFrame, keys: list[str], source: str) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     pick = F.min_by(F.struct(*rest), release_order(F.col(source)))
     return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
+
+
+def layered(releases: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Rows of the first release, and of each later one the rows whose key no earlier one has.
+
+    The result of preferred_rows for releases that come apart and hold a key once each, without an
+    aggregate: a release is only held against the keys before it.
+    """
+    out, known = releases[0], releases[0].select(*keys)
+    for release in releases[1:]:
+        fresh = release.join(known, keys, "left_anti")
+        out = out.unionByName(fresh)
+        known = known.union(fresh.select(*keys))
+    return out

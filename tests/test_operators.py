@@ -384,3 +384,13 @@ def test_one_hot_key_keeps_exact_totals(spark):
     ids = [i for i in range(200_000) if i % 10 != 0 or i == 0]
     part = sum(1 for i in ids if i % 7 + 1 in (1, 2))
     assert (hot.n, hot.part) == (len(ids), part)
+
+
+def test_one_pass_gives_what_two_readings_give(spark):
+    rows = [(1, 2020, True, True, "a"), (1, 2021, False, True, "b"), (2, 2021, False, True, "c"), (3, 2020, True, True, "d"),
+            (4, 2020, None, True, "e"), (4, 2021, True, None, "f"), (5, 2021, True, True, None), (None, 2021, True, True, "g")]
+    df = spark.createDataFrame(rows, "k int, year int, q boolean, c boolean, name string")
+    two = entities.qualify_any_year(df, "k", "year", F.col("q"), F.col("c")).select("k", "year", "name")
+    newest = df.select(F.max("year")).scalar()
+    one = entities.qualify_in_one_pass(df, "k", "year", newest, F.col("q"), F.col("c"), ["name"])
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) == [(1, 2021, "b"), (5, 2021, None)]

@@ -147,6 +147,17 @@ def test_base_rows_win_over_revised(spark):
     assert [(r.v, r.source) for r in got if r.k == 3] == [(None, "x.csv")]
 
 
+def test_releases_in_layers(spark):
+    base = spark.createDataFrame([(1, "old"), (3, None), (None, "n")], "k int, v string")
+    first = spark.createDataFrame([(1, "new"), (2, "only")], "k int, v string")
+    second = spark.createDataFrame([(2, "late"), (4, "last"), (3, "late")], "k int, v string")
+    got = precedence.layered([base, first, second], ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "old"), (2, "only"), (3, None), (4, "last"), (None, "n")]
+    assert precedence.layered([base], ["k"]).count() == 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "LeftAnti" in plan
+
+
 def test_latest_year_is_that_of_the_whole_relation(spark):
     df = spark.createDataFrame([(1, 2020, 1), (1, 2021, 0), (2, 2020, 1)], "k int, year int, ok int")
     latest = warehouse.latest_year_rows(df)
