@@ -6,7 +6,7 @@ number or a scalar Column such as latest_value(fact, "year").
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,10 +118,10 @@ def scatter(df: DataFrame, name: str, x: str, y: str) -> DataFrame:
     return df.select(name, x, y).dropna(subset=[x, y])
 
 
-def with_focus(df: DataFrame, name: str, focus: str | Column) -> DataFrame:
-    """is_focus is 1 for the highlighted entity, which sorts last (drawn on top)."""
+def with_focus(df: DataFrame, name: str, focus: str | Column, then: Sequence[str] = ()) -> DataFrame:
+    """is_focus is 1 for the highlighted entity, which sorts last (drawn on top); then by name and ``then``."""
     flag = F.coalesce((F.col(name) == focus).cast("int"), F.lit(0))
-    return df.withColumn("is_focus", flag).orderBy("is_focus", name)
+    return df.withColumn("is_focus", flag).orderBy("is_focus", name, *then)
 
 
 def star_measures(

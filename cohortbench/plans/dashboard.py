@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortbench.functions.rates import mean_of
 from cohortbench.operators import datasets
-from cohortbench.operators.entities import select_names
+from cohortbench.operators.entities import search_names, select_names
 from cohortbench.sources.warehouse import latest_value, year_window
 
 KEY = "unitid"
@@ -84,16 +84,25 @@ def overview(rows: DataFrame, at: int | Column) -> dict[str, DataFrame]:
     }
 
 
+def found_names(rows: DataFrame, term: str) -> DataFrame:
+    """Colleges of the shown rows whose name holds what was typed, any case."""
+    return search_names(rows, term, NAME)
+
+
 def metric_tab(
-    rows: DataFrame, metric: str, years: list[int], digits: int
+    rows: DataFrame, metric: str, years: list[int], digits: int, focus: str | Column | None = None
 ) -> dict[str, DataFrame]:
     """Trend lines, bars by year and the pivot table of one metric.
 
-    Only years in which any shown entity has a value; all of them if none has.
+    Only years in which any shown entity has a value; all of them if none has. With a college in focus
+    its lines are marked, and come after all others.
     """
     years = [y for y in datasets.years_with_data(rows, metric) if y in years] or years
+    trend = datasets.trend(rows, NAME, [metric])
+    if focus is not None:
+        trend = datasets.with_focus(trend, NAME, focus, ["year"])
     return {
-        "trend": datasets.trend(rows, NAME, [metric]),
+        "trend": trend,
         "bars": datasets.year_grid(rows, KEY, NAME, metric, years),
         "table": datasets.pivot_with_change(rows, KEY, NAME, metric, years, digits),
     }
@@ -117,18 +126,27 @@ def tabs(
     last: int = LAST_YEAR,
     colleges: list[str] | None = None,
     newest_present: bool = False,
+    focus: str | Column | None = None,
+    search: str | None = None,
 ) -> dict[str, dict[str, DataFrame]]:
     """All five tabs. Single-year views show the last year of the window, or with
-    newest_present the newest year the window has rows for."""
+    newest_present the newest year the window has rows for. A college in focus is
+    marked in the trends, and what is searched for narrows every tab to the colleges
+    whose name holds it, listed in the overview."""
     rows = shown_rows(fact, first, last, colleges)
+    if search is not None:
+        rows = rows.where(F.contains(F.lower(NAME), F.lit(search.lower())))
     at = latest_value(year_window(fact, first, last), "year") if newest_present else last
     years = list(range(first, last + 1))
-    completions = metric_tab(rows, "associate_degrees", years, 0)
+    completions = metric_tab(rows, "associate_degrees", years, 0, focus)
     completions["total_trend"] = datasets.trend(rows, NAME, ["total_completions"])
+    first_tab = overview(rows, at)
+    if search is not None:
+        first_tab["names"] = found_names(rows, search)
     return {
-        "overview": overview(rows, at),
-        "graduation": metric_tab(rows, "graduation_rate_150", years, 1),
-        "retention": metric_tab(rows, "full_time_retention_rate", years, 1),
+        "overview": first_tab,
+        "graduation": metric_tab(rows, "graduation_rate_150", years, 1, focus),
+        "retention": metric_tab(rows, "full_time_retention_rate", years, 1, focus),
         "completions": completions,
         "equity": equity(rows, at),
     }

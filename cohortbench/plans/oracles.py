@@ -683,3 +683,27 @@ FROM fact f JOIN dim d ON f.entity_id = d.entity_id{grouped}"""
 
 ORACLES["star_cube"] = with_ctes(*FACTS, *DIMS, select=" UNION ALL ".join(_rolled_up(by) for by in (
     ["size_tier"], ["place_tier", "year"], ["share_tier", "size_tier", "place_tier"], ["year"], [])))
+ORACLES["error_states"] = with_ctes(
+    AUDIT,
+    """states AS (SELECT family, year, row_count, CASE WHEN family = 'lineitem' AND row_count IS NOT NULL
+    AND year >= (SELECT max(year) FROM audit WHERE status = 'ok') - 1 THEN 'error' ELSE status END AS status FROM audit)""",
+    """medians AS (SELECT family, median(row_count) AS median_rows, count(*) AS years
+  FROM states WHERE status = 'ok' GROUP BY family)""",
+    """thin AS (SELECT count(*) AS n FROM states s JOIN medians m ON s.family = m.family
+  WHERE s.status = 'ok' AND m.years >= 3 AND m.median_rows > 0 AND s.row_count < m.median_rows * 0.6)""",
+    select="""SELECT count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'not_published') AS not_published,
+  count(*) FILTER (WHERE status = 'empty') + (SELECT n FROM thin) AS suspect, count(*) FILTER (WHERE status = 'error') AS errors
+FROM states""",
+)
+ORACLES["colocated_models"] = with_ctes(
+    ORDER_ROWS, LINE_ROWS, RETENTION,
+    "a AS (SELECT entity_id, year, entering FROM retention)",
+    "b AS (SELECT entity_id, year, sum(n) AS total_units FROM line_rows GROUP BY ALL)",
+    "c AS (SELECT entity_id, year + 1 AS year, count(*) AS finished FROM order_rows WHERE o_orderstatus = 'F' GROUP BY ALL)",
+    "spine AS (SELECT entity_id, year FROM a UNION SELECT entity_id, year FROM b UNION SELECT entity_id, year FROM c)",
+    select="""SELECT s.entity_id, CAST(s.year AS BIGINT) AS year, CAST(entering AS BIGINT) AS entering,
+  CAST(total_units AS BIGINT) AS total_units, finished
+FROM spine s LEFT JOIN a ON a.entity_id = s.entity_id AND a.year = s.year
+LEFT JOIN b ON b.entity_id = s.entity_id AND b.year = s.year
+LEFT JOIN c ON c.entity_id = s.entity_id AND c.year = s.year""",
+)

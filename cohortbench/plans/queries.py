@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cohortbench.functions import codes, display, rates
 from cohortbench.operators import cube, datasets, entities, quality, search
-from cohortbench.operators.combine import key_spine
+from cohortbench.operators.combine import join_colocated, key_spine
 from cohortbench.operators.ranking import numbered
 from cohortbench.plans import orderbook as ob
 from cohortbench.plans import surveyed
@@ -378,6 +378,25 @@ def outcome_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(key_spine([by_line.where("year is not null"), finished], KEYS))
 
 
+def colocated_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three models, each with keys of its own, joined bucket by bucket: intakes, lines, and finished orders a year on."""
+    intakes = ob.retention(spark, sf_dir).select(*KEYS, "entering")
+    units = ob.line_counts(spark, sf_dir).select(*KEYS, "total_units")
+    finished = ob.orders(spark, sf_dir).where("o_orderstatus = 'F'").groupBy(
+        "entity_id", (F.col("year") + 1).alias("year")).agg(F.count(F.lit(1)).alias("finished"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return published(join_colocated([intakes, units, finished], KEYS, scratch_path(spark, "models"), buckets))
+
+
+def error_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load audit's totals, with lines of the last two years taken for files that failed."""
+    audit = load_audit(spark, sf_dir)
+    last = audit.where("status = 'ok'").select(F.max("year")).scalar()
+    failed = (F.col("family") == "lineitem") & (F.col("year") >= last - 1)
+    state = F.when(failed & F.col("row_count").isNotNull(), quality.ERROR).otherwise(F.col("status"))
+    return published(quality.load_totals(audit.withColumn("status", state), ratio=0.6))
+
+
 def fact_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(ob.fact(spark, sf_dir))
 
@@ -760,12 +779,12 @@ QUERIES: dict[str, Query] = {
         qualified_entities, latest_year_rows, fact_restricted,
         coded_sums, credential_shares, preferred_pivot, outcome_rates, gap_severity,
         blended_retention, peer_attributes, dim_entities, outcome_spine, fact_outcomes,
-        peer_averages, peer_comparison, equity_report, equity_report_compat,
+        peer_averages, peer_comparison, equity_report, equity_report_compat, colocated_models,
         overview_cards, equity_cards, overview_table, display_table, ranked_metric, metric_trend,
         year_grid, pivot_change, group_rate_long, gap_scatter, equity_table,
         entity_search, entity_selection, star_measures, star_cube, search_by_index,
         dq_unique, dq_not_null, dq_relationships, dq_range, dq_fact_key,
-        thin_years, load_summary, guards, export_roundtrip, export_json,
+        thin_years, load_summary, error_states, guards, export_roundtrip, export_json,
     )
 }
 

@@ -275,3 +275,10 @@ LEFT JOIN fact f ON f.unitid = n.unitid AND f.year = y.year""",
     "survey_staged": with_ctes(*LANDED, select=" UNION ALL ".join(staged(name) for name in FAMILIES)),
 }
 ORACLES["survey_refresh"] = ORACLES["survey_fact"]
+ORACLES["survey_focus"] = with_ctes(
+    *MARTS,
+    "found AS (SELECT * FROM fact WHERE lower(institution_name) LIKE '%r#00000%')",
+    select="""SELECT institution_name, CAST(year AS BIGINT) AS year, CAST(full_time_retention_rate AS DOUBLE) AS full_time_retention_rate,
+  CAST(is_focus AS BIGINT) AS is_focus, row_number() OVER (ORDER BY is_focus, institution_name, year) AS place
+FROM (SELECT *, (institution_name = (SELECT max(institution_name) FROM found))::INT AS is_focus FROM found)""",
+)

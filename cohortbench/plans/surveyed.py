@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortbench.operators.ranking import numbered
 from cohortbench.plans import dashboard, orderbook, survey
 from cohortbench.session import scratch_path
 from cohortbench.sources.delimited import Catalogue, unite
@@ -63,6 +64,7 @@ SELECT year, entity_id AS UNITID, CASE WHEN entity_id % 6 <> 0 THEN entity_id %
 FROM order_rows GROUP BY year, entity_id HAVING count(*) > 1 OR count(*) FILTER (WHERE urgent) = 0""",
 }
 
+SEARCHED = "R#00000"
 TEMPLATE = "{family}/year={year}"
 
 
@@ -150,6 +152,15 @@ def grid(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFr
     return dashboard.metric_tab(rows, "graduation_rate_150", years, 1)["bars"]
 
 
+def highlighted(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFrame:
+    """The retention tab's lines of the colleges found by a search, the last of them marked, numbered as drawn."""
+    years = orderbook.order_years(spark, sf_dir)
+    rows = fact(spark, sf_dir, built)
+    focus = dashboard.found_names(rows, SEARCHED).select(F.max(dashboard.NAME)).scalar()
+    tabs = dashboard.tabs(rows, min(years), max(years), focus=focus, search=SEARCHED)
+    return numbered(tabs["retention"]["trend"])
+
+
 def staged(spark: SparkSession, sf_dir: str, built: Built | None = None) -> DataFrame:
     """Every staged row of every family: its key, how many of its columns hold a value, and a digest of them all."""
     root, _, _ = built or build(spark, sf_dir)
@@ -189,5 +200,5 @@ def refreshed(spark: SparkSession, sf_dir: str, built: Built | None = None) -> D
 QUERIES = {
     "survey_dim": dim, "survey_fact": fact, "survey_peers": peers, "survey_equity": equity,
     "survey_audit": audit, "survey_grid": grid, "survey_staged": staged,
-    "survey_refresh": refreshed,
+    "survey_refresh": refreshed, "survey_focus": highlighted,
 }

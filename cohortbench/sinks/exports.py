@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -65,6 +66,18 @@ def write_parquet(
     return seen.get["rows"]
 
 
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table hashed on the keys into buckets, one file each and sorted in it, as read back.
+
+    The shuffle before the write deals rows as the buckets do, so that a task writes one file. Only
+    the session's catalogue knows the buckets: the table is registered there under a name of its own.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_csv(df: DataFrame, path: str, bom: bool = True, encoding: str = "UTF-8") -> int:
     """Header row, no index. The mark before the first name tells spreadsheets it is UTF-8.
 

@@ -3,6 +3,7 @@
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cohortbench.functions.rates import safe_pct
@@ -164,6 +165,34 @@ def test_merge_adds_no_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_merge_stops_at_a_key_twice_in_a_model(spark):
+    a = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, a int")
+    b = spark.createDataFrame([(1, 1), (1, 2), (3, 3)], "k int, b int")
+    assert combine.merge_on_key([a, a.select("k", F.col("a").alias("b"))], ["k"]).count() == 3
+    with pytest.raises(PySparkException, match="share a key: 1"):
+        combine.merge_on_key([a, b], ["k"]).collect()
+    with pytest.raises(PySparkException, match="share a key"):
+        combine.merge_on_key([a, b], ["k"]).select("k").collect()
+
+
+def test_colocated_joins_need_no_exchange(spark, tmp_path):
+    frames = [
+        spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 3).alias("year"), F.lit(1).alias("a")),
+        spark.range(50, 200).select(F.col("id").alias("k"), (F.col("id") % 3).alias("year"), F.col("id").alias("b")),
+        spark.range(5).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("year"), F.col("id").alias("c")),
+    ]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = combine.join_colocated(frames, ["k", "year"], str(tmp_path), 4)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+        want = combine.join_on_spine(frames, ["k", "year"])
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_semi_join_moves_below_the_aggregate(spark):
     fact = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
     ids = spark.range(2).select(F.col("id").alias("k"))  # its size is known to be small
