@@ -671,13 +671,18 @@ SELECT entity_name, row_number() OVER (ORDER BY entity_name) AS place
 FROM (SELECT DISTINCT c_name AS entity_name FROM customer WHERE lower(c_name) LIKE '%r#0000001%')"""
 
 
+def _mean(column: str) -> str:
+    """One division of the exact sum of a column with two digits."""
+    return f"CAST(sum(CAST({column} * 100 AS BIGINT)) AS DOUBLE) / CAST(nullif(count({column}), 0) * 100 AS DOUBLE)"
+
+
 def _rolled_up(by: list[str]) -> str:
     """The measures straight from the fact, by one choice of dimensions."""
     dims = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" if d in by else f"CAST(NULL AS VARCHAR) AS {d}"
                      for d in ("size_tier", "place_tier", "share_tier", "year"))
     grouped = f" GROUP BY {', '.join(by)}" if by else ""
     return f"""SELECT '{','.join(by)}' AS dims, {dims}, count(DISTINCT f.entity_id) AS entities,
-  avg(grad_rate) AS avg_grad_rate, avg(gap_r) AS avg_gap_r, CAST(sum(code_3) AS BIGINT) AS total_code_3
+  {_mean('grad_rate')} AS avg_grad_rate, {_mean('gap_r')} AS avg_gap_r, CAST(sum(code_3) AS BIGINT) AS total_code_3
 FROM fact f JOIN dim d ON f.entity_id = d.entity_id{grouped}"""
 
 

@@ -57,7 +57,7 @@ class Version:
         return {y: p.folder for y, p in self.tables.get(table, {}).items()}
 
 
-class _Files:
+class Files:
     """Small files in whatever store the path names."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -108,7 +108,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.files = _Files(spark, self.root)
+        self.files = Files(spark, self.root)
 
     def numbers(self) -> list[int]:
         names = (re.fullmatch(r"(\d{10})\.json", n) for n, _ in self.files.listed(f"{self.root}/manifests"))
