@@ -23,20 +23,25 @@ def join_on_spine(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return out
 
 
-def merge_on_key(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+def merge_on_key(frames: list[DataFrame], keys: list[str], grouped: bool = False) -> DataFrame:
     """The result of join_on_spine, for models still being computed.
 
     Each frame must be unique on the keys and have its own value columns. The
     frames come out of aggregations hashed on the keys; their union keeps that
     partitioning, so merging adds no shuffle and computes each model once,
     where a spine with joins would compute each twice. The same aggregate counts
-    the rows of each frame per key: two of one frame stop the job.
+    the rows of each frame per key: two of one frame stop the job. Frames that a
+    groupBy on the keys has just made are unique, and go unchecked as grouped.
     """
     values = [c for f in frames for c in f.columns if c not in keys]
+    largest = [F.max(c).alias(c) for c in values]
+    if grouped:
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return stacked.groupBy(*keys).agg(*largest)
     marked = [f.withColumn(f"_rows_{i}", F.lit(1)) for i, f in enumerate(frames)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     counts = [F.sum(f"_rows_{i}").alias(f"_rows_{i}") for i in range(len(frames))]
-    merged = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values], *counts)
+    merged = stacked.groupBy(*keys).agg(*largest, *counts)
     twice = reduce(Column.__or__, [F.col(f"_rows_{i}") > 1 for i in range(len(frames))])
     key = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     stop = F.raise_error(F.concat(F.lit("two rows of one model share a key: "), key)).cast("boolean")

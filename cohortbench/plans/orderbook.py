@@ -339,7 +339,7 @@ def outcomes(spark: SparkSession, sf_dir: str, window=None, latest: bool = False
         *[r.published_rate(F.col(c)).alias(c) for c in RETENTION_RATES],
         F.col("entering").alias("entering_size"),
     )
-    return merge_on_key([line_model, order_model], KEYS)
+    return merge_on_key([line_model, order_model], KEYS, grouped=True)
 
 
 def fact(spark: SparkSession, sf_dir: str, window=None, latest: bool = False) -> DataFrame:
@@ -429,7 +429,7 @@ def equity_report(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataF
         F.col("code_3").alias("completions"),
     )
     spine = retention(spark, sf_dir).select(*KEYS)
-    yearly = merge_on_key([both, spine], KEYS)
+    yearly = merge_on_key([both, spine], KEYS, grouped=True)
     if keyed:
         rows = members.join(yearly, "entity_id", "left")
     else:
