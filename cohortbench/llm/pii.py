@@ -291,8 +291,9 @@ def _kept(model: Model) -> Column:
 def spans_of(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """All columns of ``docs`` in __row, the text in __text, and spans: array<struct<start, kind, end, base>>.
 
-    Sorted by start, then kind. An absent text is empty and has none. Without a model, one is trained
-    on the votes over all texts of ``docs``.
+    Sorted by start, then kind. An absent text is empty and has none; long texts are searched whole. Repeated
+    rows and ids, and rows without an id, each keep their row and get equal spans. An empty table gives an empty
+    result. Without a model, one is trained on the votes over all texts of ``docs``.
     """
     model = train(vote_counts(docs)) if model is None else model
     rows = with_candidates(docs.select(as_row(docs), text_of().alias("__text")))
@@ -310,7 +311,8 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; n_chars, if there, follows.
 
     Of overlapping spans the first is replaced, together with what later ones reach beyond it. An absent
-    text stays absent.
+    text stays absent, an empty one empty; long texts are redacted whole. Repeated rows each stay. All columns
+    stay, whatever they are called. An empty table gives an empty result.
     """
     found = spans_of(docs, model)
     text = F.col("__text")

@@ -227,7 +227,13 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = ALL_RULES) -> DataFrame:
 
 
 def measured(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES) -> DataFrame:
-    """doc_id, the five measures, base_failed, failed: the method's rules judge what the base passes."""
+    """doc_id, the five measures, base_failed, failed: the method's rules judge what the base passes.
+
+    ``failed`` is "base", the first rule of the cascade's order that rejects, or null for a kept row. An absent
+    or empty text has no words and fails the base; long texts are measured whole. Every row keeps its row, with
+    repeated and absent ids too. Rules of equal worth keep the order they are given in; the order never changes
+    whether a row is kept. An empty table gives an empty result.
+    """
     order = ordered(rules, estimate(docs, rules))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     shape = StructType([docs.schema["doc_id"], *StructType.fromDDL(", ".join(f"{n} long" for n in names)).fields,

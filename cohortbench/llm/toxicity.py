@@ -224,7 +224,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), trai
 
     Learnt from the texts alone; repeated rows score alike, up to the rounding of
     single precision. Without labels of both kinds every text gets
-    the share of toxic labels.
+    the share of toxic labels. Absent and empty texts are scored as texts without words; long texts by all
+    their windows. Rows without an id are scored, and not held out. Equal scores are left equal, there is no
+    rank to be tied. An empty table gives an empty result.
     """
     scorer = fit(*labelled_texts(docs, labels, sample), training)
     scored = score(docs.select("doc_id", "text"), scorer)
