@@ -49,40 +49,52 @@ def split_states(lines: DataFrame) -> DataFrame:
         F.sum(quotes.cast("long")).alias("quotes"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.min_by(F.endswith("value", F.lit("\r")), "place").alias("returns"))
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    return own.select("*", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before"))
+    return own.select("*", F.xxhash64("file").alias("number"), F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before"))
 
 
-_PIECES = "file string, start long, kind string, record binary"
+_PIECES = "file long, start long, kind string, record binary"
 
 
-def _cutter(inside: dict[tuple[str, int], bool]):
+def _cutter(inside: dict[tuple[int, int], bool]):
     """Cuts the lines of splits into whole records, and the pieces at the ends of a split.
 
     Kinds: whole, or first for a file's header; head, middle and tail of records that lie in several
     splits, or opening for the tail that holds the header.
     """
-    shape = pa.schema([("file", pa.string()), ("start", pa.int64()), ("kind", pa.string()), ("record", pa.binary())])
+    shape = pa.schema([("file", pa.int64()), ("start", pa.int64()), ("kind", pa.string()), ("record", pa.binary())])
 
-    def out(key: tuple[str, int], kinds: list[str], records: list[bytes]) -> pa.RecordBatch:
+    def out(key: tuple[int, int], kind: str, records: pa.Array) -> pa.RecordBatch:
         n = len(records)
-        return pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()),
-                                           pa.array(kinds, pa.string()), pa.array(records, pa.binary())], schema=shape)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), pa.array(np.full(n, key[1])),
+                                           pa.array([kind] * n, pa.string()), records], schema=shape)
+
+    def one(key: tuple[int, int], kind: str, record: bytes) -> pa.RecordBatch:
+        return out(key, kind, pa.array([record], pa.binary()))
+
+    def whole(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The records that end with these lines, put together all at once; empty ones are left out."""
+        offsets = np.concatenate([[0], ends + 1]).astype(np.int32)
+        records = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), lines), b"\n")
+        # The carriage return of a line's own end is no part of the record.
+        if pc.any(pc.ends_with(records, b"\r")).as_py():
+            records = pa.array([r.removesuffix(b"\r") for r in records.to_pylist()], pa.binary())
+        return records.filter(pc.greater(pc.binary_length(records), 0))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, open_, odd, head, first = None, [], 0, False, True
 
         def left() -> pa.RecordBatch:
             # A split that lies within one value as a whole is a middle piece.
-            return out(key, ["middle" if head else "opening" if first else "tail"], [b"\n".join(open_)])
+            return one(key, "middle" if head else "opening" if first else "tail", b"\n".join(open_))
 
         for batch in batches:
             # Runs of lines of one split.
-            starts, files = batch.column("start").to_numpy(), pc.dictionary_encode(batch.column("file")).indices.to_numpy()
+            starts, files = batch.column("start").to_numpy(), batch.column("file").to_numpy()
             cuts = np.flatnonzero((np.diff(starts) != 0) | (np.diff(files) != 0)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(starts)], strict=True):
                 if a == b:
                     continue
-                now = (batch.column("file")[a].as_py(), int(starts[a]))
+                now = (int(files[a]), int(starts[a]))
                 if now != key:
                     if open_:
                         yield left()
@@ -92,19 +104,20 @@ def _cutter(inside: dict[tuple[str, int], bool]):
                 lines = batch.column("line").slice(a, b - a)
                 after = (odd + np.cumsum(pc.count_substring(lines, '"').to_numpy())) % 2
                 odd = int(after[-1])
-                texts = lines.to_pylist()
-                records, kinds, at = [], [], 0
-                for end in np.flatnonzero(after == 0).tolist():
-                    # The carriage return of a line's own end is no part of the record.
-                    record = b"\n".join([*open_, *texts[at : end + 1]]).removesuffix(b"\r")
+                ends = np.flatnonzero(after == 0)
+                at = 0
+                # The record that is open, and a file's first one, by themselves.
+                while len(ends) and (open_ or head or first):
+                    end = int(ends[0])
+                    record = b"\n".join([*open_, *lines.slice(at, end + 1 - at).to_pylist()]).removesuffix(b"\r")
                     if record or head:
-                        records.append(record)
-                        kinds.append("head" if head else "first" if first else "whole")
+                        yield one(key, "head" if head else "first" if first else "whole", record)
                         first = False
-                    open_, head, at = [], False, end + 1
-                open_ += texts[at:]
-                if records:
-                    yield out(key, kinds, records)
+                    open_, head, at, ends = [], False, end + 1, ends[1:]
+                if len(ends):
+                    yield out(key, "whole", whole(lines.slice(at, int(ends[-1]) + 1 - at), ends - at))
+                    at = int(ends[-1]) + 1
+                open_ += lines.slice(at).to_pylist()
         if open_:
             yield left()
 
@@ -124,27 +137,30 @@ def _joined(pieces: DataFrame) -> DataFrame:
                     lambda s, p: F.concat(s, F.encode(F.lit("\n"), "UTF-8"), p["record"])).alias("record"))
 
 
-def raw_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, dict[str, str], set[str]]:
-    """file, kind ("first" for a file's header) and bytes of every record.
+def raw_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, dict[int, str], set[int]]:
+    """file (a hash of its path), kind ("first" for a file's header) and bytes of every record.
 
     Beside them the encoding of each file, and the files whose first line ends with a carriage return
     and a line feed. To the driver comes a row per split of the files.
     """
     lines = _lines(spark, paths)
     totals: dict[str, int] = {}
-    known: dict[str, str] = {}
-    returns: set[str] = set()
-    inside: dict[tuple[str, int], bool] = {}
+    known: dict[int, str] = {}
+    returns: set[int] = set()
+    inside: dict[tuple[int, int], bool] = {}
+    paths_of: dict[int, str] = {}
     for s in split_states(lines).collect():
+        if paths_of.setdefault(s.number, s.file) != s.file:
+            raise AssertionError(f"{s.file} and {paths_of[s.number]} have one hash")
         totals[s.file] = totals.get(s.file, 0) + s.quotes
-        known[s.file] = known.get(s.file, UTF8) if s.utf8 else LATIN1
-        inside[s.file, s.start] = bool(s.before % 2)
+        known[s.number] = known.get(s.number, UTF8) if s.utf8 else LATIN1
+        inside[s.number, s.start] = bool(s.before % 2)
         if s.returns and not s.start:
-            returns.add(s.file)
+            returns.add(s.number)
     odd = sorted(f for f, n in totals.items() if n % 2)
     if odd:
         raise UnbalancedQuotes(f"quotes are odd in number: {', '.join(odd[:5])}")
-    cut = lines.select("line", "file", "start").mapInArrow(_cutter(inside), _PIECES)
+    cut = lines.select("line", F.xxhash64("file").alias("file"), "start").mapInArrow(_cutter(inside), _PIECES)
     split = F.col("kind").isin("head", "middle", "tail", "opening")
     records = cut.where(~split).select("file", "kind", "record").unionByName(_joined(cut.where(split)))
     return records, known, returns
