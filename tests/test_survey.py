@@ -419,3 +419,14 @@ def test_star_by_dimension(built):
     got = dashboard.by_dimension(marts["institution_dim"], marts["outcome_fact"], ["urbanicity"])
     assert row(got, urbanicity="Urban/Suburban").colleges == 1
     assert row(got, urbanicity="Urban/Suburban").avg_graduation_rate == 25.0
+
+
+def test_names_over_two_lines_are_landed_whole(spark, tmp_path):
+    header = ["UNITID", "INSTNM", "STABBR", "SECTOR"]
+    put(tmp_path, "hd_2020.csv", header, [[1, "Alfa\nCollege", "TX", 4], [2, 'Beta "B"', "TX", 4], [3, "x", "OK", 4]])
+    put(tmp_path, "hd_2021.csv", header, [[1, "Alfa\nCollège", "TX", 4]], encoding="latin-1")
+    out = str(tmp_path / "out")
+    audit = survey.land(spark, Catalogue(str(tmp_path), {"hd": [2020, 2021]}), out, multiline=True)
+    assert {(r.year, r.status, r.row_count) for r in audit.collect()} == {(2020, "ok", 2), (2021, "ok", 1)}
+    names = {(r.YEAR, r.UNITID): r.INSTNM for r in survey.landed(spark, out, "hd").collect()}
+    assert names == {(2020, 1): "Alfa\nCollege", (2020, 2): 'Beta "B"', (2021, 1): "Alfa\nCollège"}
