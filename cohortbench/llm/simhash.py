@@ -8,12 +8,15 @@ as soon as the sum is over the limit.
 The top of the index is the leading bits: fingerprints with the same leading bits have consecutive
 Gray ranks and form a leaf table, which one task indexes. A fingerprint visits the leaf tables whose
 leading bits differ from its own within the limit, and so takes along what it has already spent.
+Where many fingerprints begin alike, a leaf table is split in the same way by the bits in which its
+fingerprints differ most evenly.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,13 @@ MAX_BITS = 2
 TABLE_ROWS = 4096
 FANOUT = 16
 
+#: A table with more than so many times TABLE_ROWS is split, by at most SPLIT_BITS bits at once.
+FULL = 4
+SPLIT_BITS = 8
+
+#: Full tables of which a list (place and up to SPLIT_BITS numbers each) is broadcast; more are joined by shuffle.
+BROADCAST_TABLES = 100_000
+
 #: Pairs of a query and a node that are compared at once.
 BLOCK_PAIRS = 1 << 20
 
@@ -204,28 +214,102 @@ def leading_bits(fp: Column, bits: int) -> Column:
     return F.shiftrightunsigned(fp, 64 - bits) if bits else F.lit(0).cast("long")
 
 
+def _visits(codes: DataFrame, bits: int, limit: int) -> DataFrame:
+    """place, visits, spent, fp: each fingerprint in the table of its leading bits, and as a visitor in others.
+
+    Of two tables only the one with the smaller leading bits sends visitors; spent counts the bits in
+    which a visitor differs from all of the table.
+    """
+    own = leading_bits(F.col("fp"), bits)
+    flips = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(m.bit_count()).alias("size"))
+                      for m in _masks(bits, limit)])
+    sent = codes.select("fp", own.alias("own"), F.explode(flips).alias("flip"))
+    place = F.col("own").bitwiseXOR(F.col("flip.mask"))
+    return sent.where(place >= F.col("own")).select(
+        place.alias("place"), (F.col("flip.size") > 0).alias("visits"), F.col("flip.size").alias("spent"), "fp")
+
+
+def _masks(bits: int, limit: int) -> list[int]:
+    """All masks of at most ``limit`` of the lowest ``bits`` bits, zero first."""
+    return [sum(1 << i for i in chosen) for n in range(limit + 1) for chosen in combinations(range(bits), n)]
+
+
+def _full_tables(homes: DataFrame, table_rows: int) -> DataFrame:
+    """place, cuts: the tables of ``homes`` (place, fp) that are too full, and the bits to split each by.
+
+    Those are its most even bits. Bits that the whole table shares can't split it, so that the leading
+    bits, and those of earlier splits, don't come again. All are counted in one aggregate, in which a
+    table is one row a task before it is shuffled, however full.
+    """
+    ones = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)) for i in range(64)]
+    counted = homes.groupBy("place").agg(F.count("*").alias("n"), F.array(*ones).alias("ones"))
+    skews = F.transform("ones", lambda c, i: F.struct(F.abs(2 * c - F.col("n")).alias("skew"), i.alias("bit")))
+    wanted = F.least(F.ceil(F.log2(F.col("n") / table_rows)), F.lit(SPLIT_BITS)).cast("int")
+    even = F.slice(F.array_sort(F.filter(skews, lambda b: b["skew"] < F.col("n"))), F.lit(1), wanted)
+    full = counted.where(F.col("n") > FULL * table_rows).select(
+        "place", F.transform(even, lambda b: b["bit"]).alias("cuts"))
+    return full.where(F.size("cuts") > 0)
+
+
+def _split(rows: DataFrame, full: DataFrame, small: bool, limit: int) -> DataFrame:
+    """``rows`` (place, visits, spent, fp) with each full table dealt to smaller ones by its cuts.
+
+    As with leading bits, a table's own fingerprints visit the later ones of its parts, and its visitors
+    all those within the bits they have left. A part is named by a hash: if two had the same
+    name they would be one table, whose links are the same, since all are compared in whole fingerprints.
+    """
+    met = rows.join(F.broadcast(full) if small else full, "place", "left")
+    sub = F.expr("aggregate(cuts, 0L, (acc, b) -> acc * 2 + (shiftrightunsigned(fp, b) & 1))")
+    met = met.withColumn("sub", sub)
+    flips = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(m.bit_count()).alias("size"))
+                      for m in _masks(SPLIT_BITS, limit)])
+    fits = F.filter(flips, lambda m: (m["mask"] < F.expr("shiftleft(1L, size(cuts))"))
+                    & (m["size"] + F.col("spent") <= limit)
+                    & (F.col("visits") | (F.col("sub").bitwiseXOR(m["mask"]) >= F.col("sub"))))
+    stay = F.slice(flips, 1, 1)
+    met = met.withColumn("flip", F.explode(F.when(F.col("cuts").isNull(), stay).otherwise(fits)))
+    part = F.xxhash64("place", F.col("sub").bitwiseXOR(F.col("flip.mask")))
+    return met.select(
+        F.when(F.col("cuts").isNull(), F.col("place")).otherwise(part).alias("place"),
+        (F.col("visits") | (F.col("flip.size") > 0)).alias("visits"),
+        (F.col("spent") + F.col("flip.size")).alias("spent"), "fp")
+
+
+def leaf_tables(codes: DataFrame, limit: int = MAX_BITS, table_rows: int = TABLE_ROWS) -> tuple[DataFrame, int]:
+    """(place, visits, spent, fp) of all leaf tables of the distinct fingerprints ``codes`` (fp), and how many
+    tables there are at least.
+
+    The number of leading bits follows the number of fingerprints. Tables that are too full all the
+    same, since many fingerprints begin alike, are split until none is. Limits over two bits are an error.
+    """
+    if limit > 2:
+        raise ValueError("visitors are sent for at most two differing leading bits")
+    n = codes.count()
+    bits = min(40, max(0, math.ceil(math.log2(max(1, n) / table_rows))))
+    rows, tables = _visits(codes, bits, limit), 1 << bits
+    homes = rows.where("not visits")
+    while True:
+        full = settled(_full_tables(homes, table_rows))
+        found = full.count()
+        if not found:
+            return rows, tables
+        tables = max(tables, n // table_rows)
+        small = found <= BROADCAST_TABLES
+        # Without visitors, own fingerprints go to their own part alone.
+        homes = _split(homes, full, small, 0)
+        rows = _split(rows, full, small, limit)
+
+
 def linked_pairs(codes: DataFrame, limit: int = MAX_BITS, table_rows: int = TABLE_ROWS) -> DataFrame:
     """a, b: links between the distinct fingerprints ``codes`` (fp) that join all those linked.
 
     Every pair within ``limit`` bits is found in some leaf table; each table emits no more than one
-    link a fingerprint, which joins the same ones. The number of leading bits follows the number of
-    fingerprints, and of two tables only the one with the smaller leading bits sends visitors.
+    link a fingerprint, which joins the same ones.
     """
-    n = codes.count()
-    bits = min(40, max(0, math.ceil(math.log2(max(1, n) / table_rows))))
-    place = leading_bits(F.col("fp"), bits)
-    home = codes.select(place.alias("place"), F.lit(False).alias("visits"), "fp")
-    flips = [1 << i for i in range(bits)]
-    flips += [x | y for i, x in enumerate(flips) for y in flips[i + 1 :]] if limit > 1 else []
-    if flips and limit > 2:
-        raise ValueError("visitors are sent for at most two differing leading bits")
-    other = F.explode(F.array(*[place.bitwiseXOR(F.lit(f)) for f in flips])) if flips else None
-    every = home
-    if flips:
-        sent = codes.select(other.alias("place"), F.lit(True).alias("visits"), "fp")
-        every = home.unionByName(sent.where(F.col("place") > leading_bits(F.col("fp"), bits)))
-    parts = max(1, min(1 << bits, int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = every.repartitionById(parts, F.pmod("place", F.lit(parts)).cast("int")) if bits else every.coalesce(1)
+    every, tables = leaf_tables(codes, limit, table_rows)
+    parts = max(1, min(tables, int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    every = every.select("place", "visits", "fp")
+    dealt = every.repartitionById(parts, F.pmod("place", F.lit(parts)).cast("int")) if tables > 1 else every.coalesce(1)
     return dealt.sortWithinPartitions("place", "visits").mapInArrow(_links(limit), "a long, b long")
 
 

@@ -87,6 +87,49 @@ def test_components_over_many_tables(spark, table_rows):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def alike_codes(n, seed):
+    """Most codes begin alike, in two clusters whose differing bits all go together."""
+    rng = random.Random(seed)
+    centres = [0x5A5A << 48, 0x5A5A << 48 | (1 << 30) - 1]
+    out = {rng.getrandbits(64) for _ in range(n // 6)}
+    while len(out) < n:
+        code = rng.choice(centres)
+        for _ in range(rng.randint(0, 9)):
+            code ^= 1 << rng.randrange(44)
+        out.add(code)
+    return sorted(out)
+
+
+def test_full_tables_are_split(spark):
+    codes = alike_codes(900, 4)
+    signed = [(int(np.uint64(c).view(np.int64)),) for c in codes]
+    df = spark.createDataFrame(signed, "fp long").repartition(5)
+    rows = simhash.leaf_tables(df, table_rows=8)[0].collect()
+    homes = [r for r in rows if not r["visits"]]
+    assert sorted(r["fp"] for r in homes) == sorted(s for (s,) in signed)
+    sizes = {}
+    for r in homes:
+        sizes[r["place"]] = sizes.get(r["place"], 0) + 1
+    assert max(sizes.values()) <= simhash.FULL * 8
+    # Each pair within the limit meets in one table, and what a visitor has spent is what it differs by at least.
+    members = {}
+    for r in rows:
+        members.setdefault(r["place"], ([], []))[r["visits"]].append(r)
+    met = set()
+    for own, guests in members.values():
+        met |= {frozenset((a["fp"], b["fp"])) for a in own for b in own + guests}
+        assert all(((a["fp"] ^ b["fp"]) & (1 << 64) - 1).bit_count() >= b["spent"] for a in own for b in guests)
+    want = {frozenset((a, b)) for i, (a,) in enumerate(signed) for (b,) in signed[:i]
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert want and want <= met
+    found = {r["node"]: r["root"] for r in components(simhash.linked_pairs(df, table_rows=8)).collect()}
+    got, groups, root = {}, {}, brute_components(codes)
+    for c, (s,) in zip(codes, signed, strict=True):
+        got.setdefault(found.get(s, s), set()).add(c)
+        groups.setdefault(root[c], set()).add(c)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (3000, 2999)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
