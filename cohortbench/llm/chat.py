@@ -23,19 +23,18 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
     """conv_id, place (from 1), role, text of every turn, and the run of turns that a task walks.
 
     Turns are ordered by turn (null first), role and text; a turn logged twice in all four columns
-    counts once. Absent roles and texts are empty. Rows without conv_id belong to no conversation.
+    counts once: a task drops the repeats it holds before any are shuffled. Absent roles and texts are
+    empty. Rows without conv_id belong to no conversation.
     """
     turns = conversations.where(F.col("conv_id").isNotNull()).select(
         "conv_id", F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.floor(F.col("turn") / TURNS_PER_TASK), F.lit(-(1 << 62))).cast("long").alias("run"),
-    )
+    ).distinct()
     walk = Window.partitionBy("conv_id", "run").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    same = F.struct("turn", "role", "text")
-    turns = turns.withColumn("fresh", F.lag(same).over(walk).isNull() | ~F.lag(same).over(walk).eqNullSafe(same))
-    turns = turns.withColumn("place", F.sum(F.col("fresh").cast("long")).over(
-        walk.rowsBetween(Window.unboundedPreceding, 0))).where("fresh").drop("fresh")
+    # Settled, as the shifts, the hashes and the rendering all read them.
+    turns = settled(turns.withColumn("place", F.row_number().over(walk).cast("long")))
     earlier = Window.partitionBy("conv_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     shifts = turns.groupBy("conv_id", "run").agg(F.max("place").alias("turns")).select(
         "conv_id", "run", F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("shift"))

@@ -56,3 +56,12 @@ def test_odd_rows(spark):
     assert got[2]["text"] == "<|user|>\nearly<|end|>\n<|user|>\n<|end|>\n"
     assert set(got) == {1, 2}
     assert chat.collapse(spark.createDataFrame([], SHAPE)).count() == 0
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    rows = [(1, 0, "user", "again", 1, "z")] * 3000 + [(1, 1, "assistant", f"t{i}", 1, "z") for i in range(5)]
+    df = spark.createDataFrame(rows, SHAPE).repartition(4)
+    turns = chat.numbered_turns(df).collect()
+    assert sorted(r["place"] for r in turns) == [1, 2, 3, 4, 5, 6]
+    (got,) = chat.collapse(df).collect()
+    assert got["n_turns"] == 6 and got["text"].count("again") == 1
