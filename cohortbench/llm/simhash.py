@@ -287,7 +287,7 @@ def leaf_tables(codes: DataFrame, limit: int = MAX_BITS, table_rows: int = TABLE
     n = codes.count()
     bits = min(40, max(0, math.ceil(math.log2(max(1, n) / table_rows))))
     rows, tables = _visits(codes, bits, limit), 1 << bits
-    homes = rows.where("not visits")
+    homes = _visits(codes, bits, 0)
     while True:
         full = settled(_full_tables(homes, table_rows))
         found = full.count()
