@@ -52,7 +52,7 @@ b AS (SELECT page_id, host, path, rule, {listed} AS listed,
         CASE WHEN host = '' THEN []::VARCHAR[] ELSE list_sort(list_distinct({tokens})) END AS tokens FROM r),
 m AS (SELECT doc_id AS page_id, bool_or(quality = 0 OR toxic = 1) AS marked FROM labels
       WHERE doc_id IS NOT NULL GROUP BY doc_id),
-k AS (SELECT tokens, marked AS block FROM b JOIN m USING (page_id)),
+k AS (SELECT tokens, coalesce(marked, listed = '{BLOCK}') AS block FROM b LEFT JOIN m USING (page_id)),
 g AS (SELECT row_number() OVER () AS i, tokens, count(*) AS n, count(*) FILTER (WHERE block) AS bad
       FROM k WHERE block IS NOT NULL AND len(tokens) > 0 GROUP BY tokens),
 o AS (SELECT t, list(i ORDER BY i) AS places FROM (SELECT i, unnest(tokens) AS t FROM g) GROUP BY t),
