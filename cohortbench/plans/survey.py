@@ -42,6 +42,7 @@ from cohortbench.sources.delimited import (
     Catalogue,
     encodings,
     read_text_columns,
+    typed_cells,
     typed_columns,
     unite,
 )
@@ -134,6 +135,8 @@ def land(
     written = False
     for family in families:
         frames, years, unread = [], [], []
+        schema = file_schema(family)
+        cells = typed_cells(schema, strict=strict)
         files = catalogue.files(family)
         there = published_files(spark, files)
         known = {} if multiline else encodings(spark, list(there.values()))
@@ -148,7 +151,7 @@ def land(
                 except MissingColumns as error:
                     unread.append((year, quality.ERROR, str(error)))
                     continue
-            typed = typed_columns(raw, file_schema(family), strict=strict)
+            typed = typed_columns(raw, schema, strict=strict, cells=cells)
             if scope and family == "hd":
                 typed = typed.where(_landing_cut(scope))
             elif ids is not None and "UNITID" in raw.columns:

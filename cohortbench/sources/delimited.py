@@ -68,17 +68,34 @@ def typed_value(c: Column, type_name: str, strict: bool = True) -> Column:
     Strict casts stop the job on text that is no number, or for a whole type no whole
     one (327.5 is not 328); otherwise it turns null.
     """
-    cast = Column.cast if strict else Column.try_cast
-    if type_name in ("int", "bigint"):
-        number = cast(F.trim(c), "decimal(38,10)")
-        whole = F.when(number % 1 == 0, cast(number, type_name))
-        if not strict:
-            return whole
-        broken = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast(type_name)
-        return whole.when(number.isNotNull(), broken)
     if type_name == "string":
         return c
-    return cast(F.trim(c), type_name)
+    cast = Column.cast if strict else Column.try_cast
+    text = F.trim(c)
+    if type_name in ("int", "bigint"):
+        number = cast(text, "decimal(38,10)")
+        read = F.when(number % 1 == 0, cast(number, type_name))
+        if strict:
+            broken = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast(type_name)
+            read = read.when(number.isNotNull(), broken)
+    else:
+        read = cast(text, type_name)
+        if not type_name.startswith("decimal"):
+            return read
+    # Nearly all cells are whole numbers as they print. They are read in machine arithmetic, without a
+    # decimal object each; a cell that prints otherwise, or does not fit, takes the way above.
+    plain = text.try_cast(type_name if type_name == "bigint" else "int")
+    return F.when(plain.cast("string") == text, cast(plain, type_name)).otherwise(read)
+
+
+def typed_cells(
+    schema: Mapping[str, str], markers: Iterable[str] = NULL_MARKERS, strict: bool = True
+) -> dict[str, Column]:
+    """The expression of every declared column; files of one family can share them."""
+    return {
+        name: typed_value(null_if_marker(F.col(f"`{name}`"), markers), type_name, strict).alias(name)
+        for name, type_name in schema.items()
+    }
 
 
 def typed_columns(
@@ -86,14 +103,18 @@ def typed_columns(
     schema: Mapping[str, str],
     markers: Iterable[str] = NULL_MARKERS,
     strict: bool = True,
+    cells: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Exactly the declared columns, typed; a column the file lacks is null."""
+    """Exactly the declared columns, typed; a column the file lacks is null.
+
+    cells are the typed_cells of the same schema, markers and strictness, if there already.
+    """
     have = set(df.columns)
+    if cells is None:
+        cells = typed_cells({n: t for n, t in schema.items() if n in have}, markers, strict)
     return df.select(
         *[
-            typed_value(null_if_marker(F.col(f"`{name}`"), markers), type_name, strict).alias(name)
-            if name in have
-            else F.lit(None).cast(type_name).alias(name)
+            cells[name] if name in have else F.lit(None).cast(type_name).alias(name)
             for name, type_name in schema.items()
         ]
     )
@@ -116,11 +137,12 @@ def read_family(
     """
     schema = {name: t for name, t in schema.items() if name != year_column}
     encodings = encodings or {}
+    cells = typed_cells(schema, strict=strict)
     yearly = []
     for year, path in catalogue.files(family):
         raw = read_text_columns(spark, path, encodings.get(path, UTF8), multiline)
         yearly.append(
-            typed_columns(raw, schema, strict=strict).withColumn(year_column, F.lit(year))
+            typed_columns(raw, schema, strict=strict, cells=cells).withColumn(year_column, F.lit(year))
         )
     return unite(yearly)
 

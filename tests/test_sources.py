@@ -191,3 +191,20 @@ def test_date_windows_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ts,ScalarSubquery" in (
         newest._jdf.queryExecution().executedPlan().toString()
     )
+
+
+def test_plain_numbers_skip_the_decimal_reading(spark):
+    """Cells that print as whole numbers never take the way through decimals; all others still do."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(v,) for v in ("7", " -12 ", "2147483647", "0")], "A string")
+    for type_name in ("int", "bigint", "decimal(10,0)"):
+        value = delimited.typed_value(F.col("A"), type_name)
+        assert "WHEN" in str(value).upper()
+        assert [int(r[0]) for r in rows.select(value).collect()] == [7, -12, 2147483647, 0]
+    odd = spark.createDataFrame([(v,) for v in ("327.0", "+5", "007", "1e3", "2147483648", "327.5", "x")], "A string")
+    cells = delimited.typed_cells({"A": "int"}, strict=False)
+    got = delimited.typed_columns(odd, {"A": "int", "B": "int"}, strict=False, cells=cells).collect()
+    assert [(r.A, r.B) for r in got] == [(327, None), (5, None), (7, None), (1000, None), (None, None), (None, None), (None, None)]
+    kept = odd.select(delimited.typed_value(F.col("A"), "decimal(10,0)", False).alias("A")).collect()
+    assert [None if r.A is None else int(r.A) for r in kept] == [327, 5, 7, 1000, 2147483648, 328, None]
