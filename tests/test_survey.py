@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortbench.operators import quality
-from cohortbench.plans import dashboard, survey
+from cohortbench.plans import dashboard, survey, surveyed
 from cohortbench.sinks.exports import EmptyExport
 from cohortbench.sinks.snapshots import Change, Store
 from cohortbench.sources.delimited import Catalogue
@@ -430,3 +430,18 @@ def test_names_over_two_lines_are_landed_whole(spark, tmp_path):
     assert {(r.year, r.status, r.row_count) for r in audit.collect()} == {(2020, "ok", 2), (2021, "ok", 1)}
     names = {(r.YEAR, r.UNITID): r.INSTNM for r in survey.landed(spark, out, "hd").collect()}
     assert names == {(2020, 1): "Alfa\nCollege", (2020, 2): 'Beta "B"', (2021, 1): "Alfa\nCollège"}
+
+
+def test_lines_meet_their_orders_once_for_all_families(spark, tmp_path):
+    """Both families of lines, repeated rows included, come from the rows written beside their orders."""
+    at = str(tmp_path)
+    spark.sql("SELECT 1L AS o_orderkey, 3L AS o_custkey, 'F' AS o_orderstatus, 1.0D AS o_totalprice, "
+              "TIMESTAMP '2020-05-01' AS o_orderdate, '1-URGENT' AS o_orderpriority").write.parquet(f"{at}/orders.parquet")
+    line = "SELECT 1L AS l_orderkey, 1 AS l_linenumber, 10.0D AS l_quantity, 'A' AS l_returnflag, 'F' AS l_linestatus"
+    spark.sql(f"{line} UNION ALL {line}").write.parquet(f"{at}/lineitem.parquet")
+    spark.sql("SELECT 3L AS c_custkey, 'c' AS c_name, 0 AS c_nationkey").write.parquet(f"{at}/customer.parquet")
+    spark.sql("SELECT 0 AS n_nationkey, 'n' AS n_name, 1 AS n_regionkey").write.parquet(f"{at}/nation.parquet")
+    families = surveyed.answers(spark, at)
+    for family, total in (("c_a", "CTOTALT"), ("gr", "GRTOTLT")):
+        assert "Join" not in families[family]._jdf.queryExecution().optimizedPlan().toString()
+        assert [(r["UNITID"], r["year"], r[total]) for r in families[family].collect()] == [(3, 2020, 20 if family == "c_a" else 10)]
